@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import zipfile
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -30,6 +32,20 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once for each Spark context."""
+    sc = spark.sparkContext
+    if getattr(sc, "_terrafold_shipped", False):
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="terrafold-code-")) / "terrafold.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for path in sorted(root.rglob("*.py")):
+            z.write(path, path.relative_to(root.parent))
+    sc.addPyFile(str(archive))
+    sc._terrafold_shipped = True
+
+
 class Workspace:
     """Intermediate tables, written as Parquet below the shared folder.
 
@@ -38,6 +54,7 @@ class Workspace:
     """
 
     def __init__(self, spark: SparkSession, tag: str):
+        ship_package(spark)
         self.spark = spark
         self.root = f"{shared_folder(spark)}/terrafold/{tag}-{uuid.uuid4().hex}"
         self.serial = 0

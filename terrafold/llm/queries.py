@@ -5,17 +5,29 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from .ngram_join import ngram_jaccard_components
+from .packing import pack_documents
+from .token_count import token_counts
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES = {
+    "op3_packing": op3_packing,
+    "op6_token_counts": op6_token_counts,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
