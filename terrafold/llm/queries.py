@@ -3,31 +3,91 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from .chat import SCHEMA_COLUMNS, conversation_calls, link_tool_calls
+from .embedding_forest import embedding_near_duplicates
+from .hmm import hmm_scores
+from .language import held_out, predict_language, train_language_model
+from .line_templates import drop_template_lines
+from .media import text_media
+from .mixing import mix_sources
 from .ngram_join import ngram_jaccard_components
 from .packing import pack_documents
 from .token_count import token_counts
 
+# The tools that plain transcripts call, and what their arguments must be.
+TRANSCRIPT_SCHEMAS = [
+    ("reply", "role", "string", True, 4.0, 4.0),
+    ("reply", "text", "string", True, 1.0, 4000.0),
+    ("reply", "turn", "integer", True, 0.0, None),
+    ("setup", "role", "string", True, 6.0, 6.0),
+    ("setup", "text", "string", True, 1.0, None),
+    ("setup", "turn", "integer", True, 0.0, 0.0),
+]
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_sources(_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
+
+
+def op2_hmm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = hmm_scores(docs, ~held_out("doc_id", 7, 2))
+    return out.withColumn("held_out", held_out("doc_id", 7, 2))
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return text_media(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train_language_model(docs.filter(~held_out("doc_id", 3, 1)).select("text", "lang"))
+    out = predict_language(docs.select("doc_id", "text"), model)
+    return out.select("doc_id", held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op7_embedding_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_near_duplicates(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def op8_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_template_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_lines", "n_dropped", F.length("text").cast("long").alias("n_chars_left"), F.md5("text").alias("text_md5"))
+
+
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    calls, results = conversation_calls(_table(spark, sf_dir, "conversations"))
+    return link_tool_calls(calls, results, spark.createDataFrame(TRANSCRIPT_SCHEMAS, SCHEMA_COLUMNS))
+
+
 def op10_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_components(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
 QUERIES = {
+    "op1_mixing": op1_mixing,
+    "op2_hmm_scores": op2_hmm_scores,
     "op3_packing": op3_packing,
+    "op4_media": op4_media,
+    "op5_language": op5_language,
     "op6_token_counts": op6_token_counts,
+    "op7_embedding_forest": op7_embedding_forest,
+    "op8_line_templates": op8_line_templates,
+    "op9_chat": op9_chat,
     "op10_ngram_jaccard": op10_ngram_jaccard,
 }
 
