@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from . import features, graph, scalar, tiles, view
+
+QUERIES = {**scalar.QUERIES, **features.QUERIES, **tiles.QUERIES, **graph.QUERIES, **view.QUERIES}
+ORACLE_SQL = {**scalar.ORACLE, **features.ORACLE, **tiles.ORACLE, **graph.ORACLE, **view.ORACLE}
