@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
 import numpy as np
 
@@ -20,8 +21,34 @@ _L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _OTHER = re.compile("[^\x00-\x7f\xa0-\xff]|<\\|")
 
-#: Entries of the memo of one worker; at the limit it starts anew.
-MEMO_LIMIT = 400_000
+#: Entries of each of the two generations of a worker's memo.
+MEMO_LIMIT = 350_000
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letters by which the vocabulary writes the UTF-8 bytes of U+0000-U+00FF.
+
+    Printable Latin-1 bytes stand for themselves, the others in order for the
+    code points from 256 on.
+    """
+    plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    letter = [chr(b) if b in plain else chr(next(others)) for b in range(256)]
+    return {c: "".join(letter[b] for b in chr(c).encode()) for c in range(256)}
+
+
+class _Memo(dict):
+    """Ids of pieces as bytes; pieces of the last generation move up when met."""
+
+    def __init__(self, model, old):
+        self.model, self.old, self.letters = model, old, _byte_letters()
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.old.get(piece)
+        if ids is None:
+            ids = array("I", [t.id for t in self.model.tokenize(piece.translate(self.letters))]).tobytes()
+        self[piece] = ids
+        return ids
 
 
 class PieceTokenizer:
@@ -32,22 +59,17 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        self.memo = _Memo(self.library.model, {})
 
     @staticmethod
     def _pack(ids: list[int]) -> bytes:
         return np.asarray(ids, dtype="<u4").tobytes()
 
-    def _learn(self, pieces: list[str]) -> dict[str, bytes]:
-        memo = self.memo
-        new = [p for p in set(pieces) if p not in memo]
-        if new:
-            if len(memo) > MEMO_LIMIT:
-                memo = self.memo = {}
-                new = list(set(pieces))
-            for p, e in zip(new, self.library.encode_batch(new, add_special_tokens=False), strict=True):
-                memo[p] = self._pack(e.ids)
-        return memo
+    def _ids_of(self, pieces: list[str]) -> list[bytes]:
+        if len(self.memo) > MEMO_LIMIT:
+            self.memo = _Memo(self.memo.model, self.memo)
+            self.memo.old.old = {}
+        return list(map(self.memo.__getitem__, pieces))
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text (null: none) without added special tokens."""
@@ -55,8 +77,7 @@ class PieceTokenizer:
             return b""
         if _OTHER.search(text):
             return self._pack(self.library.encode(text, add_special_tokens=False).ids)
-        pieces = _PIECE.findall(text.lower())
-        return b"".join(map(self._learn(pieces).__getitem__, pieces))
+        return b"".join(self._ids_of(_PIECE.findall(text.lower())))
 
     def count(self, text: str | None) -> int:
         return len(self.encode(text)) // 4
@@ -67,8 +88,7 @@ class PieceTokenizer:
             e = self.library.encode(text, add_special_tokens=False)
             return np.array([s for s, _ in e.offsets], dtype=np.int64), np.array(e.ids, dtype=np.int64)
         found = [(m.start(), m.group()) for m in _PIECE.finditer(text.lower())]
-        memo = self._learn([p for _, p in found])
-        ids = [memo[p] for _, p in found]
+        ids = self._ids_of([p for _, p in found])
         starts = np.repeat(np.array([s for s, _ in found], dtype=np.int64), np.array([len(x) // 4 for x in ids], dtype=np.int64))
         return starts, np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int64)
 
