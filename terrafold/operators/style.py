@@ -55,4 +55,5 @@ def best_rule(entities: DataFrame, rules: DataFrame, id_col: str) -> DataFrame:
 
 def tags_of_colors(rules: DataFrame) -> DataFrame:
     """``color_hex, tags``: of each drawn color the selectors that use it, in order."""
+    rules = rules.filter(F.col("color").rlike("^#[0-9A-Fa-f]{6}"))
     return rules.groupBy(S.rgb565_hex(S.hex_to_rgb565("color")).alias("color_hex")).agg(F.array_sort(F.collect_list("selector")).alias("tags"))
