@@ -357,3 +357,22 @@ def tile_decode_roundtrip(spark, sf_dir):
     told = d.select("z", "x", "y", (F.col("rank") - 1).cast("int").alias("ord"), F.col("rings").alias("was"), F.col("color565").alias("was_color"))
     both = told.join(back, ["z", "x", "y", "ord"], "left")
     return longs(both.groupBy("z").agg(F.count("*").alias("features"), F.count_if((F.col("was") == F.col("rings")) & (F.col("was_color") == F.col("color565"))).alias("same")))
+
+
+@query()
+def tile_pack_files(spark, sf_dir):
+    """Tile blobs packed into one file image a zoom, and its index read back."""
+    from ..sources import packs
+
+    d, palette = encoded(spark, sf_dir)
+    made = packs.pack_tiles(codec.encode_tiles(d), palette)
+
+    def run(batches):
+        for pdf in batches:
+            rows = []
+            for z, data in zip(pdf["z"], map(bytes, pdf["pack"]), strict=True):
+                head, index = packs.index_pack(data)
+                rows += [(z, x, y, o, n, len(head["palette"]), data[o : o + 4] == b"NAV1") for x, y, o, n in index]
+            yield pd.DataFrame(rows, columns=["z", "x", "y", "offset", "size", "colors", "magic"])
+
+    return made.mapInPandas(run, "z long, x long, y long, offset long, size long, colors long, magic boolean")
