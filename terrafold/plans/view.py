@@ -42,11 +42,11 @@ def viewport_tiles(spark, sf_dir):
 
 @query(
     with_sql("fx_viewports")
-    + f"""SELECT view_id, round((x - 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom) * 360 - 180, 8) AS west, round((x + 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom) * 360 - 180, 8) AS east,
-    round(degrees(atan(sinh(3.141592653589793::DOUBLE * (1 - 2.0::DOUBLE * (y - 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom))))), 8) AS north FROM (SELECT *, {sql_x('lon', 'zoom')} AS x, {sql_y('lat', 'zoom')} AS y FROM fx_viewports)"""
+    + f"""SELECT view_id, round((x - 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom) * 360 - 180, 6) AS west, round((x + 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom) * 360 - 180, 6) AS east,
+    round(degrees(atan(sinh(3.141592653589793::DOUBLE * (1 - 2.0::DOUBLE * (y - 1.5::DOUBLE) / pow(2.0::DOUBLE, zoom))))), 6) AS north FROM (SELECT *, {sql_x('lon', 'zoom')} AS x, {sql_y('lat', 'zoom')} AS y FROM fx_viewports)"""
 )
 def viewport_box(spark, sf_dir):
-    return view.viewport_box(table(spark, sf_dir, "fx_viewports")).select("view_id", *[F.round(c, 8).alias(c) for c in ("west", "east", "north")])
+    return view.viewport_box(table(spark, sf_dir, "fx_viewports")).select("view_id", *[F.round(c, 6).alias(c) for c in ("west", "east", "north")])
 
 
 _VFEATURES = f"""vf AS (SELECT v.view_id, v.z, v.x, v.y, f.* FROM vtiles v JOIN pf f ON v.x = CAST(floor({sql_x('f.lon', 'v.z')}) AS BIGINT) AND v.y = CAST(floor({sql_y('f.lat', 'v.z')}) AS BIGINT) WHERE f.min_zoom <= v.z AND f.priority BETWEEN 1 AND 14)"""
@@ -101,7 +101,7 @@ _CELL = "CAST(floor({}) AS BIGINT)"
 @query(
     with_sql("fx_areas", "fx_nodes")
     + f""", boxes AS (SELECT area_id, area_id % 16 AS priority, cx - half AS west, cx + half AS east, cy - half AS south, cy + half AS north FROM fx_areas)
-    SELECT node_id AS point_id, arg_max(area_id, priority * 10000000 - area_id) AS feature_id, max(priority) AS priority FROM fx_nodes n JOIN boxes b ON n.lon >= west AND n.lon < east AND n.lat > south AND n.lat <= north GROUP BY node_id"""
+    SELECT node_id AS point_id, arg_max(area_id, priority * 10000000 - area_id) AS feature_id, max(priority) AS priority FROM fx_nodes n JOIN boxes b ON n.lon >= west AND n.lon < east AND n.lat >= south AND n.lat < north GROUP BY node_id"""
 )
 def hit_test(spark, sf_dir):
     a = tiles.rings(spark, sf_dir).select(F.col("area_id").alias("feature_id"), (F.col("area_id") % 16).alias("priority"), F.col("shell").alias("ring"), (F.col("cx") - F.col("half")).alias("west"), (F.col("cx") + F.col("half")).alias("east"), (F.col("cy") - F.col("half")).alias("south"), (F.col("cy") + F.col("half")).alias("north"))

@@ -11,6 +11,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..session import ship_package
+
 _KINDS = "motorway trunk primary secondary tertiary unclassified residential living_street service track footway cycleway path pedestrian steps motorway_link".split()
 _HIGHWAY = "CASE o_orderkey % 24 " + " ".join(f"WHEN {i} THEN '{k}'" for i, k in enumerate(_KINDS)) + " END"
 
@@ -81,6 +83,7 @@ _NEEDS = {"fx_viewports": ["fx_nodes"], "fx_route_requests": ["fx_nodes"]}
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A fixture as a DataFrame over the Parquet tables of ``sf_dir``."""
+    ship_package(spark)
     text = FIXTURES[name]
     for need in _NEEDS.get(name, []):
         text = re.sub(rf"\b{need}\b", f"({FIXTURES[need]})", text)
