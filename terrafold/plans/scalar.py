@@ -168,3 +168,32 @@ def cell_keys(spark, sf_dir):
 def label_quantise(spark, sf_dir):
     n = table(spark, sf_dir, "fx_nodes").withColumn("x", F.floor(S.lon_to_x("lon", 10)).cast("long")).withColumn("y", F.floor(S.lat_to_y("lat", 10)).cast("long"))
     return longs(n.select("node_id", S.label_px("lon", "x", 10).alias("px"), S.label_py("lat", "y", 10).alias("py")))
+
+
+_WIDTHS = "SELECT o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN concat(CAST(o_orderkey % 40 AS STRING), '.5 m') WHEN o_orderkey % 7 = 0 THEN 'wide' END AS width, CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey % 6 AS STRING) END AS lanes FROM {orders}"
+
+
+@query(f"SELECT id, round(coalesce(TRY_CAST(nullif(regexp_extract(width, '^\\s*([+-]?[0-9]+[.]?[0-9]*)', 1), '') AS DOUBLE), CAST(TRY_CAST(lanes AS INT) AS DOUBLE) * 3.5::DOUBLE, 0.0::DOUBLE), 3) AS metres FROM ({_WIDTHS.format(orders='orders')})")
+def width_parse(spark, sf_dir):
+    from ..operators import classify as C
+
+    d = spark.sql(_WIDTHS.format(orders=f"parquet.`{sf_dir}/orders.parquet`"))
+    return C.with_tags(d, "width", "lanes").select("id", F.round(C.width_m(), 3).alias("metres"))
+
+
+@query(f"SELECT name, CAST(least(strlen(name), 32) AS BIGINT) AS kept_bytes, upper(hex(encode(name)[1:4])) AS head FROM ({_NAMES.format(part='part')})".replace("upper(hex(encode(name)[1:4]))", "substr(upper(hex(encode(name))), 1, 8)"))
+def text_truncate(spark, sf_dir):
+    names = spark.sql(_NAMES.format(part=f"parquet.`{sf_dir}/part.parquet`"))
+    return longs(names.select("name", F.octet_length(S.byte_prefix("name", 32)).alias("kept_bytes"), F.hex(S.byte_prefix("name", 4)).alias("head")))
+
+
+@query(
+    with_sql("fx_nodes")
+    + """SELECT node_id, round(sqrt(pow(px - (ax + t * dx), 2) + pow(py - (ay + t * dy), 2)), 9) AS dist FROM (SELECT *, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((px - ax) * dx + (py - ay) * dy) / (dx * dx + dy * dy))) AS t
+    FROM (SELECT c.node_id, c.lon AS px, c.lat AS py, a.lon AS ax, a.lat AS ay, b.lon - a.lon AS dx, b.lat - a.lat AS dy FROM fx_nodes c JOIN fx_nodes a ON a.node_id = c.node_id - 2 JOIN fx_nodes b ON b.node_id = c.node_id - 1))"""
+)
+def line_hit_distance(spark, sf_dir):
+    n = table(spark, sf_dir, "fx_nodes")
+    a = n.select((F.col("node_id") + 2).alias("node_id"), F.col("lon").alias("ax"), F.col("lat").alias("ay"))
+    b = n.select((F.col("node_id") + 1).alias("node_id"), F.col("lon").alias("bx"), F.col("lat").alias("by"))
+    return n.join(a, "node_id").join(b, "node_id").select("node_id", F.round(S.segment_distance("lon", "lat", "ax", "ay", "bx", "by"), 9).alias("dist"))
