@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
-import zipfile
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
+
 #: Word pattern of all contracts: runs of anything but blank and U+0009-U+000D.
 WORD_RE = r"[^\x20\x09-\x0D]+"
 
@@ -32,25 +33,13 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers, once for each Spark context."""
-    sc = spark.sparkContext
-    if getattr(sc, "_terrafold_shipped", False):
-        return
-    root = Path(__file__).resolve().parents[1]
-    archive = Path(tempfile.mkdtemp(prefix="terrafold-code-")) / "terrafold.zip"
-    with zipfile.ZipFile(archive, "w") as z:
-        for path in sorted(root.rglob("*.py")):
-            z.write(path, path.relative_to(root.parent))
-    sc.addPyFile(str(archive))
-    sc._terrafold_shipped = True
-
-
 class Workspace:
     """Intermediate tables, written as Parquet below the shared folder.
 
     A written table cuts the lineage, survives the loss of executors and is
     read back with column pruning.  ``drop`` removes tables not needed again.
+    Shuffle files behind a written table serve nothing any more; ``save`` lets
+    the JVM collect what refers to them, so that Spark's cleaner removes them.
     """
 
     def __init__(self, spark: SparkSession, tag: str):
@@ -64,6 +53,9 @@ class Workspace:
         path = f"{self.root}/{name}-{self.serial}"
         schema = df.schema
         df.write.parquet(path)
+        del df
+        gc.collect()
+        self.spark.sparkContext._jvm.System.gc()
         back = self.spark.read.schema(schema).parquet(path)
         back._terrafold_path = path
         return back

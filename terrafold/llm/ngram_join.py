@@ -27,6 +27,8 @@ from .common import Workspace, arrow_bytes, connected_components, set_signature,
 
 #: Buckets of the frequency sketch (one byte each when sent to the executors).
 SKETCH_BITS = 18
+#: Pairs of one hub that are verified together.
+HUB_PAIRS = 256
 
 
 def _bucket_counts(width: int):
@@ -74,19 +76,44 @@ def _prefixes(width: int, percent: int, levels):
     return run
 
 
+def _filter_words(keys):
+    """A bit for each of 2^SKETCH_BITS * 64 residues of the keys, as words to be OR-ed."""
+    bits = keys.withColumn("r", F.expr(f"pmod(t1, {64 << SKETCH_BITS}L)"))
+    return bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
+
+
+def _passing(bits):
+    """Rows whose t1 has its bit set; a wrong pass costs a row, no row is lost."""
+
+    def run(batches):
+        words = np.frombuffer(bits.value, dtype=np.uint64)
+        for batch in batches:
+            r = batch.column("t1").to_numpy() % (64 << SKETCH_BITS)
+            hit = (words[r // 64] >> (r % 64).astype(np.uint64)) & np.uint64(1)
+            yield batch.filter(pa.array(hit.astype(bool)))
+
+    return run
+
+
 def _verified(width: int, percent: int):
+    """Links among rows sorted by (a, salt, side): a hub's text, then those of its partners."""
+
     def run(batches):
-        last, last_set = None, None
+        hub, hub_set = None, None
         for batch in batches:
-            keep = []
-            for a, b in zip(arrow_bytes(batch.column("text_a")), arrow_bytes(batch.column("text_b")), strict=True):
-                if a is not last and a != last:
-                    last, last_set = a, shingle_set(a, width)
-                other = shingle_set(b, width)
-                both = len(np.intersect1d(last_set, other, assume_unique=True))
-                keep.append(100 * both >= percent * (len(last_set) + len(other) - both))
-            chosen = pa.array(keep, pa.bool_())
-            yield pa.record_batch([batch.column("a").filter(chosen), batch.column("b").filter(chosen)], names=["a", "b"])
+            a, b = [], []
+            for x, y, side, data in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("side").to_pylist(), arrow_bytes(batch.column("text")), strict=True):
+                other = shingle_set(data, width)
+                if side == 0:
+                    hub, hub_set = x, other
+                    continue
+                if hub != x:
+                    raise RuntimeError("a partner came before its hub")
+                both = len(np.intersect1d(hub_set, other, assume_unique=True))
+                if 100 * both >= percent * (len(hub_set) + len(other) - both):
+                    a.append(x)
+                    b.append(y)
+            yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
@@ -132,27 +159,38 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     post = post.withColumn("df", F.count("*").over(by_tok)).withColumn("hub", F.min(F.struct("lead", "n")).over(by_tok)).filter("df > 1")
     post = ws.save(post.select("tok", "lead", "n", F.col("hub.lead").alias("hub"), F.col("hub.n").alias("hub_n")), "postings")
 
-    # 5. Whole texts of the classes that share anything, once each.
-    wanted = post.select(F.col("lead").alias("cid")).distinct()
-    if many:
-        wanted = wanted.unionByName(crowd.select("cid")).distinct()
-    wanted = small.join(wanted, "cid").select("cid", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2"))
-    texts = hashed.filter("text IS NOT NULL").select("t1", "t2", "text").join(wanted, ["t1", "t2"]).groupBy("cid").agg(F.first("text").alias("text"))
-    texts = ws.save(texts, "texts")
-
+    # 5. Verification on whole texts, fetched for the classes of the pairs only.
+    # A bitmap of 2 MB on the wanted keys keeps the other texts out of the
+    # shuffle; a hub with many partners is dealt out with its text repeated.
     def verify(pairs: DataFrame) -> DataFrame:
-        left = texts.select(F.col("cid").alias("a"), F.col("text").alias("text_a"))
-        right = texts.select(F.col("cid").alias("b"), F.col("text").alias("text_b"))
-        return pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "text_a", "text_b").mapInArrow(_verified(width, percent), "a long, b long")
+        pairs = pairs.select("a", "b")
+        sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).alias("parts"))
+        pairs = pairs.join(sizes, "a").withColumn("salt", F.expr("pmod(xxhash64(b), parts)")).drop("parts")
+        rows = pairs.select("a", "salt", F.lit(1).alias("side"), "b", F.col("b").alias("cid")).unionByName(pairs.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("b"), F.col("a").alias("cid")).distinct())
+        rows = ws.save(rows.join(small.select("cid", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2")), "cid").drop("cid"), "wanted")
+        words = _filter_words(rows)
+        dense = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
+        dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+        bits = spark.sparkContext.broadcast(dense.tobytes())
+        near = hashed.filter("text IS NOT NULL").select("t1", "t2", "text").mapInArrow(_passing(bits), "t1 long, t2 long, text string")
+        near = near.groupBy("t1", "t2").agg(F.first("text").alias("text"))
+        dealt = rows.join(near, ["t1", "t2"]).select("a", "salt", "side", "b", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
+        return ws.save(dealt.mapInArrow(_verified(width, percent), "a long, b long"), "edges")
 
     fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
 
+    # The least number of prefix shingles that a linked pair shares.
+    alpha = F.expr(f"(({percent} * total + {99 + percent}) DIV {100 + percent})")
+    shared_least = F.greatest(F.lit(1), alpha + 1 - F.expr(f"(({percent} * big + 99) DIV 100)"))
+
     # 6. First round: each group with its best hub, each member with its leader.
-    star = post.filter((F.col("lead") != F.col("hub")) & fits(F.col("n"), F.col("hub_n"))).groupBy("lead", "hub").count()
+    # Hubs see only a part of what a pair shares, so half the least number will do.
+    star = post.filter((F.col("lead") != F.col("hub")) & fits(F.col("n"), F.col("hub_n"))).groupBy("lead", "hub", F.greatest("n", "hub_n").alias("big"), (F.col("n") + F.col("hub_n")).alias("total")).count()
+    star = star.filter(2 * F.col("count") >= shared_least)
     star = star.groupBy("lead").agg(F.max_by("hub", F.struct("count", F.negative("hub"))).alias("hub")).select(F.col("hub").alias("a"), F.col("lead").alias("b"))
     if many:
         star = star.unionByName(crowd.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")))
-    edges = ws.save(verify(star), "edges")
+    edges = verify(star)
 
     # 7. Exhaustive round over pairs of different components.
     def labelled(df: DataFrame, comps: DataFrame, node: str, name: str) -> DataFrame:
@@ -166,12 +204,11 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         pairs = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & fits(F.col("x.n"), F.col("y.n")))
         return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.greatest("x.n", "y.n").alias("big"), (F.col("x.n") + F.col("y.n")).alias("total"))
 
-    alpha = F.expr(f"(({percent} * total + {99 + percent}) DIV {100 + percent})")
     comps = ws.save(connected_components(edges, ws), "comps")
     items = labelled(post.select("tok", F.col("lead").alias("node"), "n"), comps, "node", "comp")
     shared = cross(items).groupBy("a", "b", "big", "total").count()
-    pairs = ws.save(shared.filter(F.col("count") >= F.greatest(F.lit(1), alpha + 1 - F.expr(f"(({percent} * big + 99) DIV 100)"))).select("a", "b"), "pairs")
-    edges = edges.unionByName(ws.save(verify(pairs), "edges"))
+    pairs = ws.save(shared.filter(F.col("count") >= shared_least).select("a", "b"), "pairs")
+    edges = edges.unionByName(verify(pairs))
     if many:
         comps = ws.save(connected_components(edges, ws), "comps")
         inside = cross(labelled(crowd.select(F.col("lead").alias("tok"), F.col("cid").alias("node"), "n"), comps, "node", "comp")).select("a", "b")
@@ -179,7 +216,7 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         expand = pairs.join(member.select(F.col("lead").alias("a"), F.col("cid").alias("ma")), "a", "left").join(member.select(F.col("lead").alias("b"), F.col("cid").alias("mb")), "b", "left")
         expand = expand.filter("ma IS NOT NULL OR mb IS NOT NULL").select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"))
         expand = labelled(labelled(expand, comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
-        edges = edges.unionByName(ws.save(verify(inside.unionByName(expand).distinct()), "edges"))
+        edges = edges.unionByName(verify(inside.unionByName(expand).distinct()))
     comps = connected_components(edges, ws)
 
     # 8. Least document id of each component, back to all documents.
@@ -188,5 +225,5 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     tagged = ws.save(tagged.join(least, "component").select(*key, "component_id"), "tagged")
     out = sets.select("doc_id", *key).join(tagged, key, "left")
     result = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    ws.drop(post, texts, pairs, classes)
+    ws.drop(post, pairs, classes)
     return result
