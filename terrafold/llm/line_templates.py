@@ -8,8 +8,10 @@ are templates without variables.  A template whose instances stand in enough
 different documents is boilerplate, and its lines are dropped.
 
 All steps are aggregations and joins on hashes, so a leaf of any size spreads
-over tasks.  Copies of whole documents are not boilerplate: documents count by
-the least of their line hashes (two independent ones), which near copies share.
+over tasks.  Copies of whole documents are not boilerplate: a holder of a line
+counts by the least hash of its other lines (two independent ones), which near
+copies share.  Lines and texts that cannot matter are kept out of the shuffles
+by tables of hash residues, at most 2^20 rows each, that are broadcast.
 """
 
 from __future__ import annotations
@@ -20,7 +22,7 @@ from pyspark.sql import functions as F
 from .common import Workspace
 
 #: Leading tokens of a leaf.
-DEPTH = 3
+DEPTH = 4
 #: Different documents that make a template recurring.
 MIN_DOCS = 3
 #: Different documents among all that hold the template: less means copies of documents.
@@ -29,58 +31,76 @@ MIN_SHARE = 0.3
 SIMILARITY = 0.7
 #: Templates looked for in a leaf, one after another.
 ROUNDS = 2
+#: Residues of a broadcast filter (bound of its rows).
+RESIDUES = 1 << 20
 
 
 def _lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row for each non-blank line of each different text."""
+    """One row for each non-blank line: text key (t1, t2), sketches of its other lines, leaf and form."""
     d = docs.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    d = d.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(17), "text")).withColumn("all", F.split("text", "\n"))
-    d = d.withColumn("s1", F.array_min(F.transform("all", lambda x: F.xxhash64(x)))).withColumn("s2", F.array_min(F.transform("all", lambda x: F.xxhash64(F.lit(3), x))))
-    x = d.select("t1", "t2", "s1", "s2", F.posexplode("all").alias("pos", "line")).withColumn("line", F.trim("line")).filter("line <> ''")
+    d = d.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.length("text")).withColumn("all", F.split("text", "\n"))
+    d = d.withColumn("own", F.array_distinct(F.filter("all", lambda x: F.trim(x) != "")))
+    for k in (1, 2):
+        d = d.withColumn(f"h{k}", F.slice(F.array_sort(F.transform("own", lambda x, k=k: F.xxhash64(F.lit(k), x))), 1, 2))
+    x = d.select("t1", "t2", "h1", "h2", F.posexplode("all").alias("pos", "line")).filter(F.trim("line") != "")
+    for k in (1, 2):
+        least, second = F.get(f"h{k}", F.lit(0)), F.get(f"h{k}", F.lit(1))
+        x = x.withColumn(f"s{k}", F.coalesce(F.when(F.xxhash64(F.lit(k), "line") == least, second).otherwise(least), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
+    x = x.withColumn("line", F.trim("line"))
     masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"\S*[0-9]\S*", "<*>")).otherwise(F.col("line"))
     x = x.withColumn("m", masked).withColumn("n", (F.length("m") - F.length(F.replace("m", F.lit(" "))) + 1).cast("int"))
-    return x.withColumn("leaf", F.xxhash64("n", F.substring_index("m", " ", DEPTH))).withColumn("m1", F.xxhash64("m")).withColumn("m2", F.xxhash64(F.lit(5), "m"))
+    return x.withColumn("leaf", F.xxhash64("n", F.substring_index("m", " ", DEPTH))).withColumn("m1", F.xxhash64("m"))
+
+
+def _residue(c: str):
+    return F.expr(f"cast(pmod({c}, {RESIDUES}) AS int)")
+
+
+def _may_be_in(rows: DataFrame, keys: DataFrame, c: str) -> DataFrame:
+    """Rows whose column ``c`` may be among ``keys``; a wrong pass is sorted out later."""
+    residues = keys.select(_residue(c).alias("residue")).distinct()
+    return rows.withColumn("residue", _residue(c)).join(F.broadcast(residues), "residue", "left_semi").drop("residue")
 
 
 def _recurring(held: DataFrame, key: list[str], min_docs: int) -> DataFrame:
     """Keys whose holders, ``t1, t2, s1, s2`` a row, are enough different documents."""
-    one = held.groupBy(*key, "t1", "t2").agg(F.min("s1").alias("s1"), F.min("s2").alias("s2"))
-    docs = one.groupBy(*key).agg(F.count("*").alias("docs"))
-    parts = [one.groupBy(*key, s).agg(F.lit(1).alias("one")).groupBy(*key).agg(F.count("*").alias(f"d_{s}")) for s in ("s1", "s2")]
-    seen = docs.filter(F.col("docs") >= min_docs).join(parts[0], key).join(parts[1], key)
-    different = F.greatest("d_s1", "d_s2")
-    return seen.filter((different >= min_docs) & (different >= MIN_SHARE * F.col("docs"))).select(*key)
+    often = held.groupBy(*key).count().filter(F.col("count") >= min_docs).select(*key)
+    one = held.join(often, key, "left_semi").groupBy(*key, "t1", "t2").agg(F.min("s1").alias("s1"), F.min("s2").alias("s2"))
+    seen = one.groupBy(*key).agg(F.count("*").alias("docs"), F.count_distinct("s1").alias("d1"), F.count_distinct("s2").alias("d2"))
+    different = F.greatest("d1", "d2")
+    return seen.filter((F.col("docs") >= min_docs) & (different >= min_docs) & (different >= MIN_SHARE * F.col("docs"))).select(*key)
 
 
 def recurring_lines(docs: DataFrame, ws: Workspace, *, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``t1, t2, drop``: of each text (by hash) the positions of its recurring lines."""
-    at = ws.save(_lines(docs, text_col).select("t1", "t2", "s1", "s2", "pos", "n", "leaf", "m1", "m2").dropDuplicates(["t1", "t2", "pos"]), "lines")
-    # Leaves that only one text reaches have no recurring template.
-    leaves = at.groupBy("leaf", "t1", "t2").agg(F.lit(1).alias("one")).groupBy("leaf").agg(F.count("*").alias("texts")).filter(F.col("texts") >= min_docs).select("leaf")
-    shared = ws.save(at.join(leaves, "leaf", "left_semi"), "shared")
-    exact = ws.save(_recurring(shared, ["m1", "m2"], min_docs), "exact")
-    dropped = [shared.join(exact, ["m1", "m2"], "left_semi").select("t1", "t2", "pos")]
-
-    # The words of the other lines, once for each different masked line.
-    rest = shared.join(exact, ["m1", "m2"], "left_anti").filter(F.col("n") > DEPTH)
-    weight = rest.groupBy("leaf", "m1", "m2").agg(F.count("*").alias("w"))
-    several = weight.groupBy("leaf").agg(F.count("*").alias("forms")).filter("forms >= 2").select("leaf")
+    """``t1, t2, drop``: of each text (by hash and length) the positions of its recurring lines."""
+    form = ["leaf", "m1"]
+    # Leaves with fewer lines than documents asked for have no recurring template.
+    busy = _lines(docs, text_col).groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
+    busy = ws.save(busy, "busy")
+    shared = _may_be_in(_lines(docs, text_col), busy, "leaf").select("t1", "t2", "s1", "s2", "pos", "n", *form)
+    shared = ws.save(shared.join(busy, "leaf", "left_semi"), "shared")
+    exact = ws.save(_recurring(shared.select("t1", "t2", "s1", "s2", *form), form, min_docs), "exact")
+    dropped = [shared.join(exact, form, "left_semi").select("t1", "t2", "pos")]
+
+    # The words of the other lines, once for each different form.
+    weight = shared.filter(F.col("n") > DEPTH).groupBy(*form).agg(F.count("*").alias("w")).join(exact, form, "left_anti")
+    several = weight.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("w").alias("all")).filter((F.col("forms") >= 2) & (F.col("all") >= min_docs)).select("leaf")
     weight = ws.save(weight.join(several, "leaf", "left_semi"), "weights")
     open_forms = weight
     if weight.take(1):
-        words = _lines(docs, text_col).select("m", "m1", "m2").join(weight, ["m1", "m2"]).groupBy("leaf", "m1", "m2").agg(F.first("m").alias("m"), F.first("w").alias("w"))
-        words = ws.save(words.select("leaf", "m1", "m2", "w", F.posexplode(F.split("m", " ")).alias("i", "token")), "words")
+        words = _may_be_in(_lines(docs, text_col).select("m", *form), weight, "m1").join(weight, form).groupBy(*form).agg(F.first("m").alias("m"), F.first("w").alias("w"))
+        words = ws.save(words.select(*form, "w", F.posexplode(F.split("m", " ")).alias("i", "token")), "words")
         for _ in range(ROUNDS):
-            w = words.join(open_forms.select("leaf", "m1", "m2"), ["leaf", "m1", "m2"], "left_semi")
+            w = words.join(open_forms.select(*form), form, "left_semi")
             total = open_forms.groupBy("leaf").agg(F.sum("w").alias("total"))
             top = w.groupBy("leaf", "i", "token").agg(F.sum("w").alias("w")).groupBy("leaf", "i").agg(F.max_by("token", F.struct("w", "token")).alias("constant"), F.max("w").alias("best"))
             template = top.join(total, "leaf").filter("2 * best > total").select("leaf", "i", "constant")
-            match = w.join(template, ["leaf", "i"], "left").groupBy("leaf", "m1", "m2").agg(F.count("*").alias("places"), F.count_if(F.col("token") == F.col("constant")).alias("same"))
-            match = ws.save(match.filter(F.col("same") >= SIMILARITY * F.col("places")).select("leaf", "m1", "m2"), "match")
-            held = shared.join(match, ["leaf", "m1", "m2"], "left_semi")
-            found = _recurring(held, ["leaf"], min_docs)
+            match = w.join(template, ["leaf", "i"], "left").groupBy(*form).agg(F.count("*").alias("places"), F.count_if(F.col("token") == F.col("constant")).alias("same"))
+            match = ws.save(match.filter(F.col("same") >= SIMILARITY * F.col("places")).select(*form), "match")
+            held = ws.save(_may_be_in(shared, match, "m1").join(match, form, "left_semi"), "held")
+            found = _recurring(held.select("t1", "t2", "s1", "s2", "leaf"), ["leaf"], min_docs)
             dropped.append(held.join(found, "leaf", "left_semi").select("t1", "t2", "pos"))
-            open_forms = ws.save(open_forms.join(match, ["leaf", "m1", "m2"], "left_anti"), "open")
+            open_forms = ws.save(open_forms.join(match, form, "left_anti"), "open")
     out = dropped[0]
     for d in dropped[1:]:
         out = out.unionByName(d)
@@ -104,7 +124,11 @@ def drop_template_lines(docs: DataFrame, *, text_col: str = "text", min_docs: in
     names = docs.columns
     packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c not in ("n_lines", "n_dropped")]).alias("row"))
     text = F.col("row").getField(text_col).cast("string")
-    d = packed.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.xxhash64(F.lit(17), text)).join(drop, ["t1", "t2"], "left")
+    d = packed.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.length(text)).withColumn("residue", _residue("t1"))
+    residues = F.broadcast(drop.select(_residue("t1").alias("residue")).distinct())
+    # Only texts that may have something to drop go through the join.
+    touched = d.join(residues, "residue", "left_semi").join(drop, ["t1", "t2"], "left").select("row", "drop")
+    d = touched.unionByName(d.join(residues, "residue", "left_anti").select("row", F.lit(None).cast("array<int>").alias("drop")))
     lines = F.split(text, "\n")
     kept = F.filter(lines, lambda x, i: ~F.array_contains("drop", i))
     d = d.withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
