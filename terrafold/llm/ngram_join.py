@@ -9,8 +9,8 @@ size into groups; groups are paired over their prefixes, pairs are expanded to
 the members and verified on the whole texts.
 
 No group of copies is expanded into all its pairs: a first round links each
-group to one hub of its postings and each member to its group's leader; the
-exhaustive round after it looks only at pairs of different components, where
+group to one hub of its postings and each member to its group's leader, later
+ones link nodes of different components through other hubs; the exhaustive round after it looks only at pairs of different components, where
 for each prefix shingle only members outside its most frequent component start
 pairs.  Components, the result, are the same as those of all links.
 """
@@ -29,6 +29,8 @@ from .common import Workspace, arrow_bytes, connected_components, set_signature,
 SKETCH_BITS = 18
 #: Pairs of one hub that are verified together.
 HUB_PAIRS = 256
+#: Rounds after the first that link nodes to hubs, and hubs of a node in each.
+STAR_ROUNDS, HUBS = 1, 3
 
 
 def _bucket_counts(width: int):
@@ -155,9 +157,11 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     # 4. Postings of the groups' prefixes, without shingles of a single group.
     single = classes.join(crowd.filter("cid <> lead").select("cid"), "cid", "left_anti") if many else classes
     post = single.select(F.col("cid").alias("lead"), F.col("n").cast("int").alias("n"), F.explode("prefix").alias("tok"))
-    by_tok = W.partitionBy("tok")
-    post = post.withColumn("df", F.count("*").over(by_tok)).withColumn("hub", F.min(F.struct("lead", "n")).over(by_tok)).filter("df > 1")
-    post = ws.save(post.select("tok", "lead", "n", F.col("hub.lead").alias("hub"), F.col("hub.n").alias("hub_n")), "postings")
+    post = ws.save(post.withColumn("df", F.count("*").over(W.partitionBy("tok"))).filter("df > 1"), "postings")
+    # How much of a group's prefix others have: copies with few own edits are central.
+    width_of = single.select(F.col("cid").alias("lead"), F.size("prefix").alias("width"))
+    central = post.groupBy("lead").agg(F.sum("df").alias("all_df")).join(width_of, "lead").select("lead", (F.col("all_df") / F.col("width")).alias("central"))
+    items = ws.save(post.join(central, "lead").select("tok", F.col("lead").alias("node"), "n", "central"), "items")
 
     # 5. Verification on whole texts, fetched for the classes of the pairs only.
     # A bitmap of 2 MB on the wanted keys keeps the other texts out of the
@@ -183,19 +187,49 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     alpha = F.expr(f"(({percent} * total + {99 + percent}) DIV {100 + percent})")
     shared_least = F.greatest(F.lit(1), alpha + 1 - F.expr(f"(({percent} * big + 99) DIV 100)"))
 
-    # 6. First round: each group with its best hub, each member with its leader.
-    # Hubs see only a part of what a pair shares, so half the least number will do.
-    star = post.filter((F.col("lead") != F.col("hub")) & fits(F.col("n"), F.col("hub_n"))).groupBy("lead", "hub", F.greatest("n", "hub_n").alias("big"), (F.col("n") + F.col("hub_n")).alias("total")).count()
-    star = star.filter(2 * F.col("count") >= shared_least)
-    star = star.groupBy("lead").agg(F.max_by("hub", F.struct("count", F.negative("hub"))).alias("hub")).select(F.col("hub").alias("a"), F.col("lead").alias("b"))
+    # 6. First round: each group with its best hubs, each member with its leader.
+    # A token's hub is its most central group.  Hubs see only a part of what a
+    # pair shares, so half the least number will do.
+    def best_hubs(met: DataFrame) -> DataFrame:
+        """Of (node, n, hub) rows, one a shared token, the HUBS best pairs of each node."""
+        met = met.filter((F.col("node") != F.col("hub.node")) & fits(F.col("n"), F.col("hub.n")))
+        met = met.groupBy("node", F.col("hub.node").alias("hub"), F.greatest("n", "hub.n").alias("big"), (F.col("n") + F.col("hub.n")).alias("total")).count()
+        order = W.partitionBy("node").orderBy(F.desc("count"), "hub")
+        met = met.filter(2 * F.col("count") >= shared_least).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= HUBS)
+        return met.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+
+    centre = items.groupBy("tok").agg(F.max_by(F.struct("node", "n"), F.struct("central", "node")).alias("hub"))
+    star = best_hubs(items.join(centre, "tok"))
     if many:
         star = star.unionByName(crowd.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")))
     edges = verify(star)
 
-    # 7. Exhaustive round over pairs of different components.
+    # 7. More star rounds, where components meet in a token: each node outside
+    # the token's largest component against two hubs of that one and one hub of
+    # some other.  At most HUBS pairs a node and round, so the work is linear.
     def labelled(df: DataFrame, comps: DataFrame, node: str, name: str) -> DataFrame:
         return df.join(comps.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
+    def hub_pairs(items: DataFrame, comps: DataFrame, seed: int) -> DataFrame:
+        items = labelled(items, comps, "node", "comp")
+        drawn = [F.expr(f"central * (10 + pmod(xxhash64({seed + k}, node), 1000) / 1000.0D)") for k in range(2)]
+        ranked = [F.max_by(F.struct("comp", "node", "n"), F.struct(d, "node")).alias(f"hub{k}") for k, d in enumerate(drawn)]
+        per = items.groupBy("tok", "comp").agg(F.count("*").alias("size"), *ranked).groupBy("tok").agg(
+            F.max_by(F.struct("hub0", "hub1"), F.struct("size", "comp")).alias("main"),
+            F.min_by("hub0", F.xxhash64(F.lit(seed), "comp")).alias("other"),
+            F.count("*").alias("comps"),
+        )
+        per = per.filter("comps > 1").select("tok", F.col("main.hub0.comp").alias("main"), F.array_distinct(F.array("main.hub0", "main.hub1", "other")).alias("hubs"))
+        met = items.join(per, "tok").filter("comp <> main").select("node", "n", "comp", F.explode("hubs").alias("hub"))
+        return best_hubs(met.filter(F.col("comp") != F.col("hub.comp")))
+
+    comps = ws.save(connected_components(edges, ws), "comps")
+    for turn in range(STAR_ROUNDS):
+        more = verify(ws.save(hub_pairs(items, comps, 101 + 2 * turn), "hubs"))
+        edges = edges.unionByName(more)
+        comps = ws.save(connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(labelled(labelled(more, comps, "a", "ca"), comps, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))), ws), "comps")
+
+    # 8. Exhaustive round over pairs of different components.
     def cross(items: DataFrame) -> DataFrame:
         """Pairs of the same token and different components: (a, b, na, nb)."""
         per = items.groupBy("tok", "comp").count().groupBy("tok").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
@@ -204,9 +238,7 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         pairs = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & fits(F.col("x.n"), F.col("y.n")))
         return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.greatest("x.n", "y.n").alias("big"), (F.col("x.n") + F.col("y.n")).alias("total"))
 
-    comps = ws.save(connected_components(edges, ws), "comps")
-    items = labelled(post.select("tok", F.col("lead").alias("node"), "n"), comps, "node", "comp")
-    shared = cross(items).groupBy("a", "b", "big", "total").count()
+    shared = cross(labelled(items, comps, "node", "comp")).groupBy("a", "b", "big", "total").count()
     pairs = ws.save(shared.filter(F.col("count") >= shared_least).select("a", "b"), "pairs")
     edges = edges.unionByName(verify(pairs))
     if many:
@@ -219,11 +251,11 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         edges = edges.unionByName(verify(inside.unionByName(expand).distinct()))
     comps = connected_components(edges, ws)
 
-    # 8. Least document id of each component, back to all documents.
+    # 9. Least document id of each component, back to all documents.
     tagged = labelled(classes.select("cid", "least_id", *key), comps, "cid", "component")
     least = tagged.groupBy("component").agg(F.min("least_id").alias("component_id"))
     tagged = ws.save(tagged.join(least, "component").select(*key, "component_id"), "tagged")
     out = sets.select("doc_id", *key).join(tagged, key, "left")
     result = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    ws.drop(post, pairs, classes)
+    ws.drop(post, items, pairs, classes)
     return result
