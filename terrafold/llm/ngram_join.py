@@ -6,7 +6,8 @@ least t share ``alpha + 1 - ceil(t * larger size)`` members of their prefixes,
 where alpha is the intersection that t asks for; this count filter is exact.
 Documents with equal sets collapse into classes, classes with equal prefix and
 size into groups; groups are paired over their prefixes, pairs are expanded to
-the members and verified on the whole texts.
+the members and verified on the whole texts.  A member that its group's leader
+is not linked to is paired on its own.
 
 No group of copies is expanded into all its pairs: a first round links each
 group to one hub of its postings and each member to its group's leader, later
@@ -224,6 +225,17 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         return best_hubs(met.filter(F.col("comp") != F.col("hub.comp")))
 
     comps = ws.save(connected_components(edges, ws), "comps")
+    member = crowd.select("lead", "cid")
+    if many:
+        # A member apart from its leader has the leader's postings as a node of
+        # its own: the leader's component says nothing about whom it met.
+        astray = labelled(labelled(member.filter("cid <> lead"), comps, "cid", "comp"), comps, "lead", "home").filter("comp <> home")
+        astray = ws.save(astray.select("lead", "cid"), "astray")
+        member = member.join(astray.select("cid"), "cid", "left_anti")
+        apart = items.join(astray, F.col("node") == F.col("lead")).select("tok", F.col("cid").alias("node"), "n", "central")
+        whole = ws.save(items.unionByName(apart), "items")
+        ws.drop(items)
+        items = whole
     for turn in range(STAR_ROUNDS):
         more = verify(ws.save(hub_pairs(items, comps, 101 + 2 * turn), "hubs"))
         edges = edges.unionByName(more)
@@ -244,7 +256,6 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     if many:
         comps = ws.save(connected_components(edges, ws), "comps")
         inside = cross(labelled(crowd.select(F.col("lead").alias("tok"), F.col("cid").alias("node"), "n"), comps, "node", "comp")).select("a", "b")
-        member = crowd.select("lead", "cid")
         expand = pairs.join(member.select(F.col("lead").alias("a"), F.col("cid").alias("ma")), "a", "left").join(member.select(F.col("lead").alias("b"), F.col("cid").alias("mb")), "b", "left")
         expand = expand.filter("ma IS NOT NULL OR mb IS NOT NULL").select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"))
         expand = labelled(labelled(expand, comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")

@@ -395,6 +395,19 @@ def test_ngram_join(spark, docs):
     assert Counter(map(tuple, got.collect())) == brute_components(texts)
 
 
+def test_ngram_members_that_fail_their_leader(spark):
+    """Two sets of equal size and prefix, not linked to each other, that both link to a third."""
+    texts = []
+    for k in range(6):
+        w = [f"g{k}w{i}" for i in range(9)]
+        texts += [(10 * k + i, " ".join(t)) for i, t in enumerate((w[:8], w[1:], w))]
+        for j in range(30):  # the first and the last shingle are frequent, so no prefix has them
+            own = [f"g{k}d{j}x{i}" for i in range(12)]
+            texts.append((1000 + 100 * k + j, " ".join(own[:6] + (w[:5] if j % 2 else w[4:]) + own[6:])))
+    got = ngram_join.ngram_jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == brute_components(texts)
+
+
 def test_ngram_odd(odd, empty):
     texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert Counter(map(tuple, ngram_join.ngram_jaccard_components(odd).collect())) == brute_components(texts)
