@@ -2,7 +2,9 @@
 
 Each tree splits along random directions, at the widest gap near the middle of
 a bounded sample's projections, so that dense groups are not cut; a vector
-close to a split goes to both sides (spill).  Vectors that meet in a leaf of
+close to a split goes to both sides (spill).  A node with a good part of its
+pairs linked is not split: that would lose links, and comparing all its pairs
+costs a few comparisons a link.  Vectors that meet in a leaf of
 any tree are compared in double precision.  A pair that meets in several
 leaves belongs to the least of them, so links are counted once and no pair is
 ever written out: a leaf gives each vector's number of links and a spanning
@@ -25,17 +27,26 @@ SAMPLE = 16384
 #: Vectors of a leaf aimed at; leaves above BLOCK rows are compared in blocks.
 LEAF, BLOCK = 1024, 4096
 MAX_DEPTH = 40
+#: Share of linked pairs from which a node is a leaf, and rows that it is measured on.
+DENSE, DENSE_ROWS = 0.25, 256
+
+
+def _linked_share(x: np.ndarray, cosine: float) -> float:
+    """Share of linked pairs among DENSE_ROWS rows spread over ``x``."""
+    some = x[:: max(1, -(-len(x) // DENSE_ROWS))]
+    n = len(some)
+    return ((some @ some.T >= cosine).sum() - n) / max(1, n * (n - 1))
 
 
 class Tree:
     """Splits as arrays: direction, threshold and children of each node (leaf: -1)."""
 
-    def __init__(self, x: np.ndarray, weight: float, leaf: int, rng: np.random.Generator, least: int = 8):
+    def __init__(self, x: np.ndarray, weight: float, leaf: int, rng: np.random.Generator, cosine: float, least: int = 8):
         self.direction, self.threshold, self.child = [], [], []
         todo = [(np.arange(len(x)), 0, self._node())]
         while todo:
             rows, depth, node = todo.pop()
-            if len(rows) * weight <= leaf or len(rows) < least or depth >= MAX_DEPTH:
+            if len(rows) * weight <= leaf or len(rows) < least or depth >= MAX_DEPTH or _linked_share(x[rows], cosine) >= DENSE:
                 continue
             for _ in range(3):
                 r = rng.standard_normal(x.shape[1])
@@ -197,7 +208,7 @@ def embedding_near_duplicates(vectors: DataFrame, *, id_col: str = "vec_id", vec
     if len(x):
         x /= np.linalg.norm(x, axis=1, keepdims=True)
     rng = np.random.default_rng(seed)
-    forest = [Tree(x, total / max(1, len(x)), LEAF, rng) for _ in range(trees)]
+    forest = [Tree(x, total / max(1, len(x)), LEAF, rng, cosine) for _ in range(trees)]
 
     placed = classes.select("cid", "copies", "v").mapInArrow(_assign(forest, dim, spill, copies, kind), "leaf long, cid long, copies long, vec binary, sig binary")
     placed = ws.save(placed, "placed")

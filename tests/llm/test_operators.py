@@ -301,6 +301,20 @@ def test_large_leaves_are_compared_in_blocks(spark, monkeypatch):
     assert [got[i] for i in range(300)] == link.sum(1).tolist()
 
 
+def test_a_hot_group_over_many_leaves_keeps_its_links(spark, monkeypatch):
+    monkeypatch.setattr(embedding_forest, "LEAF", 16)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((6000, 64)).astype(np.float32)
+    x[:2000] = x[0] + 0.28 * rng.standard_normal((2000, 64))
+    d = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    u = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    link = u @ u.T >= 0.9
+    np.fill_diagonal(link, False)
+    got = {r["vec_id"]: r["n_links"] for r in embedding_forest.embedding_near_duplicates(d).collect()}
+    found, want = np.array([got[i] for i in range(len(x))]), link.sum(1)
+    assert (found <= want).all() and found.sum() >= 0.9 * want.sum(), found.sum() / want.sum()
+
+
 # -- 8 line templates -------------------------------------------------------------------
 
 
