@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import gc
+import contextlib
 import tempfile
 import uuid
 from collections.abc import Iterator
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
@@ -33,13 +33,27 @@ def shared_folder(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+@contextlib.contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Inside, each finished Spark action removes its shuffle files: what it gave is written or small."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 class Workspace:
     """Intermediate tables, written as Parquet below the shared folder.
 
     A written table cuts the lineage, survives the loss of executors and is
-    read back with column pruning.  ``drop`` removes tables not needed again.
-    Shuffle files behind a written table serve nothing any more; ``save`` lets
-    the JVM collect what refers to them, so that Spark's cleaner removes them.
+    read back with column pruning.  ``drop`` removes tables not needed again;
+    the folder itself goes when the application ends.
     """
 
     def __init__(self, spark: SparkSession, tag: str):
@@ -47,25 +61,34 @@ class Workspace:
         self.spark = spark
         self.root = f"{shared_folder(spark)}/terrafold/{tag}-{uuid.uuid4().hex}"
         self.serial = 0
+        path, files = self._files(self.root)
+        files.mkdirs(path)
+        files.deleteOnExit(path)
+
+    def _files(self, name: str):
+        path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(name)
+        return path, path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
 
     def save(self, df: DataFrame, name: str) -> DataFrame:
         self.serial += 1
         path = f"{self.root}/{name}-{self.serial}"
         schema = df.schema
-        df.write.parquet(path)
-        del df
-        gc.collect()
-        self.spark.sparkContext._jvm.System.gc()
+        with tidy(self.spark):
+            df.write.parquet(path)
         back = self.spark.read.schema(schema).parquet(path)
         back._terrafold_path = path
         return back
 
+    def save_counted(self, df: DataFrame, name: str, **counted: Column) -> tuple[DataFrame, dict]:
+        """Like ``save``; also returns aggregates of the written rows, taken on the way."""
+        seen = Observation()
+        back = self.save(df.observe(seen, *[c.alias(k) for k, c in counted.items()]), name)
+        return back, seen.get
+
     def drop(self, *frames: DataFrame) -> None:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for df in frames:
-            path = jvm.org.apache.hadoop.fs.Path(df._terrafold_path)
-            path.getFileSystem(conf).delete(path, True)
+            path, files = self._files(df._terrafold_path)
+            files.delete(path, True)
 
 
 # -- words and shingles -------------------------------------------------------
@@ -176,24 +199,25 @@ def connected_components(edges: DataFrame, ws: Workspace, max_rounds: int = 60)
     until the edge set is stable.
     """
     pairs = edges.select("a", "b").filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
-    e = ws.save(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc")
-    state, rounds = None, 0
-    while True:
-        seen = e.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (seen["n"], seen["s"]) == state or not seen["n"]:
+    mark = {"n": F.count(F.lit(1)), "s": F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))}
+    e, seen = ws.save_counted(pairs.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), "cc", **mark)
+    for _ in range(max_rounds):
+        if not seen["n"]:
             break
-        state, rounds = (seen["n"], seen["s"]), rounds + 1
-        if rounds > max_rounds:
-            raise RuntimeError("components did not settle")
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
         large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = small.unionByName(low.select("u", F.col("m").alias("v")))
-        after = ws.save(small.distinct(), "cc")
+        before = seen
+        after, seen = ws.save_counted(small.distinct(), "cc", **mark)
         ws.drop(e)
         e = after
+        if seen == before:
+            break
+    else:
+        raise RuntimeError("components did not settle")
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         e.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )

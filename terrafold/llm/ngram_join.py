@@ -1,49 +1,64 @@
 """Grouped prefix join: exact Jaccard self-join of documents on word shingles.
 
 Sets are ordered globally by how full the sketch bucket of a shingle is (very
-common shingles last) and then by hash.  Two sets of Jaccard similarity of at
-least t share ``alpha + 1 - ceil(t * larger size)`` members of their prefixes,
-where alpha is the intersection that t asks for; this count filter is exact.
+common shingles last) and then by hash.  Two sets of sizes n and m that are to
+be linked share at least ``alpha`` members, so their first ``n - alpha + 1``
+and ``m - alpha + 1`` members meet, and their whole prefixes share
+``alpha + 1 - ceil(t * larger size)`` members; both filters are exact.
 Documents with equal sets collapse into classes, classes with equal prefix and
 size into groups; groups are paired over their prefixes, pairs are expanded to
 the members and verified on the whole texts.  A member that its group's leader
 is not linked to is paired on its own.
 
-No group of copies is expanded into all its pairs: a first round links each
-group to one hub of its postings and each member to its group's leader, later
-ones link nodes of different components through other hubs; the exhaustive round after it looks only at pairs of different components, where
-for each prefix shingle only members outside its most frequent component start
-pairs.  Components, the result, are the same as those of all links.
+No group of copies is expanded into all its pairs: the first round links each
+group with the groups that come earliest in its postings (copies with few own
+edits) and each member with its group's leader.  The second, exhaustive round
+looks only at pairs of different components; for each prefix shingle, pairs
+start from nodes outside its most frequent component.  Components, the result,
+are the same as those of all links.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Workspace, arrow_bytes, connected_components, set_signature, shingle_set
+from .common import Workspace, arrow_bytes, connected_components, set_signature, shingle_set, tidy
 
 #: Buckets of the frequency sketch (one byte each when sent to the executors).
 SKETCH_BITS = 18
 #: Pairs of one hub that are verified together.
 HUB_PAIRS = 256
-#: Rounds after the first that link nodes to hubs, and hubs of a node in each.
-STAR_ROUNDS, HUBS = 1, 3
+#: Hubs that a group is held against in the first round.
+HUBS = 3
+#: Bits of the filter on wanted texts for each of them, and its bounds (2 and 32 MB).
+KEY_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 24, 1 << 28
 
 
 def _bucket_counts(width: int):
     def run(batches):
         total = np.zeros(1 << SKETCH_BITS, dtype=np.int64)
         mask = np.uint64((1 << SKETCH_BITS) - 1)
+        parts, held = [], 0
+
+        def add():
+            if parts:
+                np.add(total, np.bincount(np.concatenate(parts), minlength=len(total)), out=total)
+                parts.clear()
+
         for batch in batches:
             for data in arrow_bytes(batch.column(0)):
                 u = shingle_set(data, width)
-                total += np.bincount((u & mask).astype(np.int64), minlength=1 << SKETCH_BITS) if len(u) > 50_000 else 0
-                if len(u) <= 50_000:
-                    np.add.at(total, (u & mask).astype(np.int64), 1)
+                parts.append((u & mask).astype(np.int64))
+                held += len(u)
+                if held > 1 << 20:
+                    add()
+                    held = 0
+        add()
         hit = np.flatnonzero(total)
         for i in range(0, len(hit), 65536):
             part = hit[i : i + 65536]
@@ -56,33 +71,40 @@ def _prefixes(width: int, percent: int, levels):
     def run(batches):
         level = np.frombuffer(levels.value, dtype=np.uint8).astype(np.uint64) << np.uint64(56)
         mask = np.uint64((1 << SKETCH_BITS) - 1)
+        number = TaskContext.get().partitionId() << 40
         for batch in batches:
-            size, sig_a, sig_b, prefix, offsets = [], [], [], [], [0]
+            size, sigs, prefix, offsets = [], [], [], [0]
             for data in arrow_bytes(batch.column("text")):
                 u = shingle_set(data, width)
                 n = len(u)
                 size.append(n)
-                a, b = set_signature(u)
-                sig_a.append(a)
-                sig_b.append(b)
                 keep = n - (percent * n + 99) // 100 + 1 if n else 0
                 if n:
                     rank = np.argsort(level[(u & mask).astype(np.int64)] | (u >> np.uint64(8)), kind="stable")
                     prefix.append(u[rank[:keep]].view(np.int64))
+                    sigs.append((*set_signature(u), *set_signature(u[rank[:keep]])))
+                else:
+                    sigs.append((0, 0, 0, 0))
                 offsets.append(offsets[-1] + keep)
             flat = np.concatenate(prefix) if prefix else np.zeros(0, np.int64)
+            rid = pa.array(np.arange(number, number + len(size)))
+            number += len(size)
+            columns = [pa.array(list(c), pa.int64()) for c in zip(*sigs)] if sigs else [pa.array([], pa.int64())] * 4
             yield pa.record_batch(
-                [batch.column("doc_id"), batch.column("t1"), batch.column("t2"), pa.array(size, pa.int64()), pa.array(sig_a, pa.int64()), pa.array(sig_b, pa.int64()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                names=["doc_id", "t1", "t2", "n", "sig_a", "sig_b", "prefix"],
+                [rid, batch.column("doc_id"), batch.column("t1"), batch.column("t2"), pa.array(size, pa.int64()), *columns, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
+                names=["rid", "doc_id", "t1", "t2", "n", "sig_a", "sig_b", "g1", "g2", "prefix"],
             )
 
     return run
 
 
-def _filter_words(keys):
-    """A bit for each of 2^SKETCH_BITS * 64 residues of the keys, as words to be OR-ed."""
-    bits = keys.withColumn("r", F.expr(f"pmod(t1, {64 << SKETCH_BITS}L)"))
-    return bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
+def _filter_words(keys: DataFrame, size: int) -> np.ndarray:
+    """A bit for each of ``size`` residues of the keys."""
+    bits = keys.withColumn("r", F.expr(f"pmod(t1, {size}L)"))
+    words = bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
+    dense = np.zeros(size // 64, dtype=np.uint64)
+    dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return dense
 
 
 def _passing(bits):
@@ -91,7 +113,7 @@ def _passing(bits):
     def run(batches):
         words = np.frombuffer(bits.value, dtype=np.uint64)
         for batch in batches:
-            r = batch.column("t1").to_numpy() % (64 << SKETCH_BITS)
+            r = batch.column("t1").to_numpy() % (64 * len(words))
             hit = (words[r // 64] >> (r % 64).astype(np.uint64)) & np.uint64(1)
             yield batch.filter(pa.array(hit.astype(bool)))
 
@@ -137,136 +159,122 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
     # 1. Sketch of document frequencies over all documents (2^18 counters).
-    counts = src.select("text").mapInArrow(_bucket_counts(width), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toPandas()
+    with tidy(spark):
+        counts = src.select("text").mapInArrow(_bucket_counts(width), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toPandas()
     df_of = np.zeros(1 << SKETCH_BITS)
     df_of[counts["bucket"].to_numpy(dtype=np.int64)] = counts["df"].to_numpy(dtype=np.float64)
     levels = spark.sparkContext.broadcast(np.minimum(255, 4 * np.log2(1 + df_of)).astype(np.uint8).tobytes())
 
     # 2. Set sizes, signatures and prefixes of all documents.
     hashed = src.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.xxhash64(F.lit(17), "text"))
-    sets = ws.save(hashed.select("doc_id", "text", "t1", "t2").mapInArrow(_prefixes(width, percent, levels), "doc_id long, t1 long, t2 long, n long, sig_a long, sig_b long, prefix array<long>"), "sets")
+    schema = "rid long, doc_id long, t1 long, t2 long, n long, sig_a long, sig_b long, g1 long, g2 long, prefix array<long>"
+    sets = ws.save(hashed.select("doc_id", "text", "t1", "t2").mapInArrow(_prefixes(width, percent, levels), schema), "sets")
+    levels.destroy()
 
     # 3. Classes of equal sets, then groups of equal size and prefix.
     key = ["n", "sig_a", "sig_b"]
-    classes = sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least_id"), F.min(F.struct("t1", "t2")).alias("t"), F.first("prefix").alias("prefix"))
-    classes = ws.save(classes.withColumn("cid", F.monotonically_increasing_id()).withColumn("g1", F.xxhash64("prefix")).withColumn("g2", F.xxhash64(F.lit(29), "prefix")), "classes")
-    leaders = classes.groupBy("n", "g1", "g2").agg(F.min("cid").alias("lead"), F.count("*").alias("members"))
-    small = classes.select("cid", "n", "g1", "g2", "t")
-    crowd = ws.save(small.join(leaders.filter("members > 1"), ["n", "g1", "g2"]).select("cid", "n", "lead"), "crowd")
-    many = bool(crowd.take(1))
-
-    # 4. Postings of the groups' prefixes, without shingles of a single group.
-    single = classes.join(crowd.filter("cid <> lead").select("cid"), "cid", "left_anti") if many else classes
-    post = single.select(F.col("cid").alias("lead"), F.col("n").cast("int").alias("n"), F.explode("prefix").alias("tok"))
-    post = ws.save(post.withColumn("df", F.count("*").over(W.partitionBy("tok"))).filter("df > 1"), "postings")
-    # How much of a group's prefix others have: copies with few own edits are central.
-    width_of = single.select(F.col("cid").alias("lead"), F.size("prefix").alias("width"))
-    central = post.groupBy("lead").agg(F.sum("df").alias("all_df")).join(width_of, "lead").select("lead", (F.col("all_df") / F.col("width")).alias("central"))
-    items = ws.save(post.join(central, "lead").select("tok", F.col("lead").alias("node"), "n", "central"), "items")
+    classes = sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least_id"), F.min("rid").alias("cid"), F.min("g1").alias("g1"), F.min("g2").alias("g2"))
+    classes = ws.save(classes, "classes")
+    groups = classes.groupBy("n", "g1", "g2").agg(F.min("cid").alias("lead"), F.count("*").alias("members"))
+    nodes = sets.select(F.col("rid").alias("cid"), "t1", "t2", "prefix").join(classes.select("cid", "n", "g1", "g2"), "cid")
+    nodes, found = ws.save_counted(nodes.join(groups, ["n", "g1", "g2"]).select("cid", "n", "t1", "t2", "lead", "members", "prefix"), "nodes", crowd=F.count_if(F.col("members") > 1))
+    many = bool(found["crowd"])
+    crowd = nodes.filter("members > 1").select("lead", "cid")
+
+    # 4. Postings of the groups' prefixes, without shingles of a single group,
+    # each with the group in which the shingle comes earliest: its hub.
+    post = nodes.filter("cid = lead").select(F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), (F.col("members") > 1).alias("several"), F.posexplode("prefix").alias("pos", "tok"))
+    per = post.groupBy("tok").agg(F.count("*").alias("df"), F.bool_or("several").alias("any"), F.min_by(F.struct("node", "n"), F.struct(F.col("pos") / F.col("n"), "node")).alias("hub")).filter("df > 1 OR any")
+    items = ws.save(post.drop("several").join(per.drop("any", "df"), "tok"), "items")
 
     # 5. Verification on whole texts, fetched for the classes of the pairs only.
-    # A bitmap of 2 MB on the wanted keys keeps the other texts out of the
-    # shuffle; a hub with many partners is dealt out with its text repeated.
+    # A bitmap of the wanted keys keeps most other texts out of the shuffle; a
+    # hub with many partners is dealt out with its text repeated.
     def verify(pairs: DataFrame) -> DataFrame:
         pairs = pairs.select("a", "b")
         sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / HUB_PAIRS).alias("parts"))
         pairs = pairs.join(sizes, "a").withColumn("salt", F.expr("pmod(xxhash64(b), parts)")).drop("parts")
         rows = pairs.select("a", "salt", F.lit(1).alias("side"), "b", F.col("b").alias("cid")).unionByName(pairs.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("b"), F.col("a").alias("cid")).distinct())
-        rows = ws.save(rows.join(small.select("cid", F.col("t.t1").alias("t1"), F.col("t.t2").alias("t2")), "cid").drop("cid"), "wanted")
-        words = _filter_words(rows)
-        dense = np.zeros(1 << SKETCH_BITS, dtype=np.uint64)
-        dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
-        bits = spark.sparkContext.broadcast(dense.tobytes())
+        rows, seen = ws.save_counted(rows.join(nodes.select("cid", "t1", "t2"), "cid").drop("cid"), "wanted", n=F.count(F.lit(1)))
+        size = LEAST_BITS
+        while size < min(MOST_BITS, KEY_BITS * seen["n"]):
+            size *= 2
+        with tidy(spark):
+            bits = spark.sparkContext.broadcast(_filter_words(rows, size).tobytes())
         near = hashed.filter("text IS NOT NULL").select("t1", "t2", "text").mapInArrow(_passing(bits), "t1 long, t2 long, text string")
         near = near.groupBy("t1", "t2").agg(F.first("text").alias("text"))
         dealt = rows.join(near, ["t1", "t2"]).select("a", "salt", "side", "b", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "side")
-        return ws.save(dealt.mapInArrow(_verified(width, percent), "a long, b long"), "edges")
-
-    fits = lambda x, y: F.least(x, y) * 100 >= F.greatest(x, y) * percent
+        edges = ws.save(dealt.mapInArrow(_verified(width, percent), "a long, b long"), "edges")
+        bits.destroy()
+        ws.drop(rows)
+        return edges
 
-    # The least number of prefix shingles that a linked pair shares.
+    # The members that a linked pair shares, and the least number among prefixes.
     alpha = F.expr(f"(({percent} * total + {99 + percent}) DIV {100 + percent})")
     shared_least = F.greatest(F.lit(1), alpha + 1 - F.expr(f"(({percent} * big + 99) DIV 100)"))
 
-    # 6. First round: each group with its best hubs, each member with its leader.
-    # A token's hub is its most central group.  Hubs see only a part of what a
-    # pair shares, so half the least number will do.
-    def best_hubs(met: DataFrame) -> DataFrame:
-        """Of (node, n, hub) rows, one a shared token, the HUBS best pairs of each node."""
-        met = met.filter((F.col("node") != F.col("hub.node")) & fits(F.col("n"), F.col("hub.n")))
-        met = met.groupBy("node", F.col("hub.node").alias("hub"), F.greatest("n", "hub.n").alias("big"), (F.col("n") + F.col("hub.n")).alias("total")).count()
-        order = W.partitionBy("node").orderBy(F.desc("count"), "hub")
-        met = met.filter(2 * F.col("count") >= shared_least).withColumn("k", F.row_number().over(order)).filter(F.col("k") <= HUBS)
-        return met.select(F.col("hub").alias("a"), F.col("node").alias("b"))
-
-    centre = items.groupBy("tok").agg(F.max_by(F.struct("node", "n"), F.struct("central", "node")).alias("hub"))
-    star = best_hubs(items.join(centre, "tok"))
-    if many:
-        star = star.unionByName(crowd.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")))
-    edges = verify(star)
-
-    # 7. More star rounds, where components meet in a token: each node outside
-    # the token's largest component against two hubs of that one and one hub of
-    # some other.  At most HUBS pairs a node and round, so the work is linear.
     def labelled(df: DataFrame, comps: DataFrame, node: str, name: str) -> DataFrame:
         return df.join(comps.select(F.col("node").alias(node), F.col("component").alias(name)), node, "left").withColumn(name, F.coalesce(name, node))
 
-    def hub_pairs(items: DataFrame, comps: DataFrame, seed: int) -> DataFrame:
-        items = labelled(items, comps, "node", "comp")
-        drawn = [F.expr(f"central * (10 + pmod(xxhash64({seed + k}, node), 1000) / 1000.0D)") for k in range(2)]
-        ranked = [F.max_by(F.struct("comp", "node", "n"), F.struct(d, "node")).alias(f"hub{k}") for k, d in enumerate(drawn)]
-        per = items.groupBy("tok", "comp").agg(F.count("*").alias("size"), *ranked).groupBy("tok").agg(
-            F.max_by(F.struct("hub0", "hub1"), F.struct("size", "comp")).alias("main"),
-            F.min_by("hub0", F.xxhash64(F.lit(seed), "comp")).alias("other"),
-            F.count("*").alias("comps"),
-        )
-        per = per.filter("comps > 1").select("tok", F.col("main.hub0.comp").alias("main"), F.array_distinct(F.array("main.hub0", "main.hub1", "other")).alias("hubs"))
-        met = items.join(per, "tok").filter("comp <> main").select("node", "n", "comp", F.explode("hubs").alias("hub"))
-        return best_hubs(met.filter(F.col("comp") != F.col("hub.comp")))
-
+    # 6. First round: each group with its best hubs, each member with its leader.
+    # Hubs see only a part of what a pair shares, so half the least number will do.
+    met = items.filter((F.col("node") != F.col("hub.node")) & (F.least("n", "hub.n") * 100 >= F.greatest("n", "hub.n") * percent))
+    met = met.groupBy("node", F.col("hub.node").alias("hub"), F.greatest("n", "hub.n").alias("big"), (F.col("n") + F.col("hub.n")).alias("total")).count()
+    best = W.partitionBy("node").orderBy(F.desc("count"), "hub")
+    met = met.filter(2 * F.col("count") >= shared_least).withColumn("k", F.row_number().over(best)).filter(F.col("k") <= HUBS)
+    star = met.select(F.col("hub").alias("a"), F.col("node").alias("b"))
+    if many:
+        star = star.unionByName(crowd.filter("cid <> lead").select(F.col("lead").alias("a"), F.col("cid").alias("b")))
+    edges = verify(ws.save(star, "star"))
     comps = ws.save(connected_components(edges, ws), "comps")
-    member = crowd.select("lead", "cid")
+
+    # 7. A member apart from its leader has the leader's postings as a node of
+    # its own: the leader's component says nothing about whom it met.
+    member = crowd
+    items = items.select("tok", "node", "n", "pos")
     if many:
-        # A member apart from its leader has the leader's postings as a node of
-        # its own: the leader's component says nothing about whom it met.
-        astray = labelled(labelled(member.filter("cid <> lead"), comps, "cid", "comp"), comps, "lead", "home").filter("comp <> home")
+        astray = labelled(labelled(crowd.filter("cid <> lead"), comps, "cid", "comp"), comps, "lead", "home").filter("comp <> home")
         astray = ws.save(astray.select("lead", "cid"), "astray")
-        member = member.join(astray.select("cid"), "cid", "left_anti")
-        apart = items.join(astray, F.col("node") == F.col("lead")).select("tok", F.col("cid").alias("node"), "n", "central")
-        whole = ws.save(items.unionByName(apart), "items")
-        ws.drop(items)
-        items = whole
-    for turn in range(STAR_ROUNDS):
-        more = verify(ws.save(hub_pairs(items, comps, 101 + 2 * turn), "hubs"))
-        edges = edges.unionByName(more)
-        comps = ws.save(connected_components(comps.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(labelled(labelled(more, comps, "a", "ca"), comps, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))), ws), "comps")
+        member = crowd.join(astray.select("cid"), "cid", "left_anti")
+        items = items.unionByName(items.join(astray, F.col("node") == F.col("lead")).select("tok", F.col("cid").alias("node"), "n", "pos"))
 
     # 8. Exhaustive round over pairs of different components.
-    def cross(items: DataFrame) -> DataFrame:
-        """Pairs of the same token and different components: (a, b, na, nb)."""
-        per = items.groupBy("tok", "comp").count().groupBy("tok").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
-        mixed = items.join(per.select("tok", "main"), "tok").withColumn("minor", F.col("comp") != F.col("main"))
-        x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
-        pairs = x.join(y, (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node"))) & fits(F.col("x.n"), F.col("y.n")))
-        return pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.greatest("x.n", "y.n").alias("big"), (F.col("x.n") + F.col("y.n")).alias("total"))
-
-    shared = cross(labelled(items, comps, "node", "comp")).groupBy("a", "b", "big", "total").count()
-    pairs = ws.save(shared.filter(F.col("count") >= shared_least).select("a", "b"), "pairs")
-    edges = edges.unionByName(verify(pairs))
+    items = ws.save(labelled(items, comps, "node", "comp"), "labelled")
+    per = items.groupBy("tok", "comp").count().groupBy("tok").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
+    mixed = items.join(per.select("tok", "main"), "tok").withColumn("minor", F.col("comp") != F.col("main")).drop("main")
+    x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
+    least = F.expr(f"(({percent} * (x.n + y.n) + {99 + percent}) DIV {100 + percent})")
+    meets = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node")))
+    meets = meets & (F.col("x.pos") <= F.col("x.n") - least) & (F.col("y.pos") <= F.col("y.n") - least)
+    shared = x.join(y, meets).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.greatest("x.n", "y.n").alias("big"), (F.col("x.n") + F.col("y.n")).alias("total")).distinct()
+    for side in ("a", "b"):
+        shared = shared.join(nodes.select(F.col("cid").alias(side), F.col("prefix").alias(f"prefix_{side}")), side)
+    pairs = ws.save(shared.filter(F.size(F.array_intersect("prefix_a", "prefix_b")) >= shared_least).select("a", "b"), "pairs")
+    edges = verify(pairs)
+
+    def joined(comps: DataFrame, edges: DataFrame) -> DataFrame:
+        """Components after more edges between them."""
+        between = labelled(labelled(edges, comps, "a", "ca"), comps, "b", "cb").select(F.col("ca").alias("a"), F.col("cb").alias("b"))
+        top = connected_components(between, ws).withColumnsRenamed({"node": "of", "component": "top"})
+        ends = edges.select(F.col("a").alias("node")).unionByName(edges.select(F.col("b").alias("node"))).distinct()
+        known = comps.unionByName(ends.join(comps.select("node"), "node", "left_anti").select("node", F.col("node").alias("component")))
+        return ws.save(known.join(top, F.col("component") == F.col("of"), "left").select("node", F.coalesce("top", "component").alias("component")), "comps")
+
+    if edges.take(1):
+        comps = joined(comps, edges)
     if many:
-        comps = ws.save(connected_components(edges, ws), "comps")
-        inside = cross(labelled(crowd.select(F.col("lead").alias("tok"), F.col("cid").alias("node"), "n"), comps, "node", "comp")).select("a", "b")
         expand = pairs.join(member.select(F.col("lead").alias("a"), F.col("cid").alias("ma")), "a", "left").join(member.select(F.col("lead").alias("b"), F.col("cid").alias("mb")), "b", "left")
         expand = expand.filter("ma IS NOT NULL OR mb IS NOT NULL").select(F.coalesce("ma", "a").alias("a"), F.coalesce("mb", "b").alias("b"))
-        expand = labelled(labelled(expand, comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b")
-        edges = edges.unionByName(verify(inside.unionByName(expand).distinct()))
-    comps = connected_components(edges, ws)
+        expand = ws.save(labelled(labelled(expand, comps, "a", "ca"), comps, "b", "cb").filter("ca <> cb").select("a", "b").distinct(), "expand")
+        if expand.take(1):
+            edges = verify(expand)
+            if edges.take(1):
+                comps = joined(comps, edges)
 
     # 9. Least document id of each component, back to all documents.
     tagged = labelled(classes.select("cid", "least_id", *key), comps, "cid", "component")
     least = tagged.groupBy("component").agg(F.min("least_id").alias("component_id"))
     tagged = ws.save(tagged.join(least, "component").select(*key, "component_id"), "tagged")
+    ws.drop(nodes, items, pairs, classes, comps)
     out = sets.select("doc_id", *key).join(tagged, key, "left")
-    result = out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
-    ws.drop(post, items, pairs, classes)
-    return result
+    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))

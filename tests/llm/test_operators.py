@@ -422,6 +422,34 @@ def test_ngram_members_that_fail_their_leader(spark):
     assert Counter(map(tuple, got.collect())) == brute_components(texts)
 
 
+def test_ngram_chain_over_one_set(spark):
+    """1-3 and 2-3 are linked, 1-2 is not; other texts make parts of all three frequent."""
+    c, a, m = ([f"{k}{i}" for i in range(n)] for k, n in (("c", 404), ("a", 70), ("m", 70)))
+    texts = [(1, " ".join(c + a)), (2, " ".join(c + m)), (3, " ".join(c + a[:35] + m[35:]))]
+    for j in range(60):
+        own = [f"d{j}x{i}" for i in range(40)]
+        texts.append((100 + j, " ".join(own[:20] + (a if j % 2 else m) + own[20:])))
+    got = ngram_join.ngram_jaccard_components(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert Counter(map(tuple, got.collect())) == brute_components(texts)
+
+
+def test_ngram_groups_of_equal_prefixes(spark):
+    """Many sets of one size whose differences lie in frequent shingles, so that prefixes are equal."""
+    rng = np.random.default_rng(17)
+    blocks = [[f"b{k}w{i}" for i in range(7)] for k in range(14)]
+    texts = []
+    for k in range(8):
+        core = [f"k{k}c{i}" for i in range(int(rng.integers(30, 45)))]
+        for j in range(14):
+            some = rng.choice(14, 3, replace=False)
+            texts.append((1000 * k + j, " ".join(core + sum((blocks[i] for i in sorted(some)), []))))
+    for j in range(200):  # texts that make the blocks frequent
+        own = [f"d{j}x{i}" for i in range(30)]
+        texts.append((90000 + j, " ".join(own[:15] + blocks[j % 14] + own[15:])))
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    assert Counter(map(tuple, ngram_join.ngram_jaccard_components(frame).collect())) == brute_components(texts)
+
+
 def test_ngram_odd(odd, empty):
     texts = [(r["doc_id"], r["text"]) for r in odd.collect()]
     assert Counter(map(tuple, ngram_join.ngram_jaccard_components(odd).collect())) == brute_components(texts)
