@@ -42,17 +42,20 @@ def call_depths(calls: DataFrame, ws: Workspace) -> DataFrame:
     return state.select("call_id", F.when(F.col("jump").isNull(), F.col("depth")).otherwise(-1).alias("depth"))
 
 
-def check_arguments(calls: DataFrame, schemas: DataFrame) -> DataFrame:
-    """``call_id, errors`` for calls ``call_id, name, arguments`` (JSON text).
+def check_arguments(calls: DataFrame, schemas: DataFrame, key: str = "call_id") -> DataFrame:
+    """``key, errors`` for calls ``key, name, arguments`` (JSON text).
 
     errors lists, in order, ``not json``, ``unknown tool``, and for each
-    field of the schema ``field: missing``, ``: kind`` or ``: range``.  Kinds are
+    field of the schema ``field: missing``, ``: kind`` or ``: range``; a field
+    whose name holds both kinds of quotes is ``: name``.  Kinds are
     string, integer, number and boolean.  The schema table is joined by the
     tool's name; it is not assumed to be small.
     """
-    parsed = calls.select("call_id", "name", F.try_parse_json("arguments").alias("v"))
+    parsed = calls.select(key, "name", F.try_parse_json("arguments").alias("v"))
     rows = parsed.join(schemas, "name", "left")
-    path = F.concat(F.lit("$['"), F.col("field"), F.lit("']"))
+    quote = F.when(F.contains("field", F.lit("'")), F.lit('"')).otherwise(F.lit("'"))
+    odd = F.contains("field", F.lit("'")) & F.contains("field", F.lit('"'))
+    path = F.when(~odd, F.concat(F.lit("$["), quote, F.col("field"), quote, F.lit("]")))
     kind = F.schema_of_variant(F.try_variant_get("v", path, "variant"))
     number = F.try_variant_get("v", path, "double")
     text = F.try_variant_get("v", path, "string")
@@ -66,11 +69,12 @@ def check_arguments(calls: DataFrame, schemas: DataFrame) -> DataFrame:
     wrong = (
         F.when(F.col("v").isNull(), F.lit("not json"))
         .when(F.col("field").isNull(), F.lit("unknown tool"))
+        .when(odd, F.concat("field", F.lit(": name")))
         .when(kind.isNull() | (kind == "VOID"), F.when(F.col("required"), F.concat("field", F.lit(": missing"))))
         .when(~fits, F.concat("field", F.lit(": kind")))
         .when((size < F.col("least")) | (size > F.col("most")), F.concat("field", F.lit(": range")))
     )
-    return rows.select("call_id", wrong.alias("wrong")).groupBy("call_id").agg(F.array_sort(F.collect_set("wrong")).alias("errors"))
+    return rows.select(key, wrong.alias("wrong")).groupBy(key).agg(F.array_sort(F.collect_set("wrong")).alias("errors"))
 
 
 def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, *, workspace: Workspace | None = None) -> DataFrame:
@@ -82,23 +86,25 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, *,
     valid, errors and json.  Sorting by conv_id, depth, turn, call_id gives a
     topological order of each conversation.
 
-    Defined cases: identifiers are the keys; of repeated calls the least row
-    counts and of repeated results the least by turn and content, n_results
-    counts all; a null identifier links with nothing (such calls are dropped
-    into no group: each distinct row stays, with depth 0); null arguments are
-    ``not json``; calls on a cycle have depth -1; empty tables give no rows;
-    other columns are ignored.
+    Defined cases: identifiers count within their conversation (a null conv_id
+    is one); repeated calls stay rows of their own, exact copies once, and all
+    link to the identifier's result, the least by turn and content; n_results
+    counts all; depth follows the least parent of an identifier; a null
+    identifier links with nothing (each distinct such call stays, with depth 0;
+    such results are no rows); null arguments are ``not json``; calls on a
+    cycle have depth -1; empty tables give no rows; other columns are ignored.
+    Texts beyond the size limit of Spark's variants are ``not json``.
     """
     ws = workspace or Workspace(calls.sparkSession, "chat")
+    within = lambda c: F.concat(F.coalesce(F.concat(F.lit("="), F.col("conv_id").cast("string")), F.lit("")), F.lit("\0"), F.col(c))
     c = calls.select("conv_id", "turn", "call_id", "parent_id", "name", "arguments")
-    named = c.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.min(F.struct("conv_id", "turn", "name", "arguments", "parent_id")).alias("c")).select("call_id", "c.*")
-    named = ws.save(named, "calls")
-    depths = call_depths(named.select("call_id", "parent_id"), ws)
-    found = results.filter("call_id IS NOT NULL").groupBy("call_id").agg(F.count("*").alias("n_results"), F.min(F.struct("turn", "content", "conv_id")).alias("r"))
-    errors = check_arguments(named, schemas)
-    linked = named.join(depths, "call_id").join(errors, "call_id").join(found, "call_id", "left")
+    named = ws.save(c.filter("call_id IS NOT NULL").distinct().withColumn("key", within("call_id")).withColumn("row", F.monotonically_increasing_id()), "calls")
+    depths = call_depths(named.select(F.col("key").alias("call_id"), within("parent_id").alias("parent_id")), ws).withColumnRenamed("call_id", "key")
+    found = results.filter("call_id IS NOT NULL").withColumn("key", within("call_id")).groupBy("key").agg(F.count("*").alias("n_results"), F.min(F.struct("turn", "content", "conv_id", "call_id")).alias("r"))
+    errors = check_arguments(named, schemas, "row")
+    linked = named.join(errors, "row").join(depths, "key").join(found, "key", "left")
     linked = linked.select("conv_id", "turn", "call_id", F.lit("call").alias("kind"), "depth", F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), F.col("r.turn").alias("result_turn"), "errors", "name", "arguments", F.col("r.content").alias("content"))
-    orphan = found.join(named.select("call_id"), "call_id", "left_anti").select("r.conv_id", F.col("r.turn").alias("turn"), "call_id", F.lit("orphan").alias("kind"), F.lit(0).cast("long").alias("depth"), F.col("n_results"), F.col("r.turn").alias("result_turn"), F.array(F.lit("no call")).alias("errors"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.col("r.content").alias("content"))
+    orphan = found.join(named.select("key"), "key", "left_anti").select("r.conv_id", F.col("r.turn").alias("turn"), "r.call_id", F.lit("orphan").alias("kind"), F.lit(0).cast("long").alias("depth"), F.col("n_results"), F.col("r.turn").alias("result_turn"), F.array(F.lit("no call")).alias("errors"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.col("r.content").alias("content"))
     nameless = c.filter("call_id IS NULL").distinct().select("conv_id", "turn", "call_id", F.lit("call").alias("kind"), F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("n_results"), F.lit(None).cast(results.schema["turn"].dataType).alias("result_turn"), F.array(F.lit("no id")).alias("errors"), "name", "arguments", F.lit(None).cast("string").alias("content"))
     rows = linked.unionByName(orphan).unionByName(nameless)
     given = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null"))
@@ -111,14 +117,17 @@ def conversation_calls(turns: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results that plain transcripts hold.
 
     A user turn is a call of the tool ``reply`` with its text and role as
-    arguments, a system turn a call of ``setup``; an assistant turn is the
-    result of the turn before it.  A call needs the result before it, so its
-    parent is the call two turns back.
+    arguments, a system turn a call of ``setup``; a turn of any other role, null
+    too, is the result of the turn before it.  A call needs the result before
+    it, so its parent is the call two turns back.  A null text is an empty one;
+    a turn without conversation or number has no identifier; repeated turns are
+    repeated calls or results; other columns are ignored.
     """
-    ident = lambda t: F.concat_ws(":", "conv_id", t)
+    ident = lambda t: F.concat(F.col("conv_id").cast("string"), F.lit(":"), t.cast("string"))
     t = turns.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text"))
-    asks = t.filter("role IN ('user', 'system')")
+    asking = F.coalesce(F.col("role").isin("user", "system"), F.lit(False))
+    asks = t.filter(asking)
     arguments = F.to_json(F.struct(F.col("role"), F.col("text"), F.col("turn")))
     calls = asks.select("conv_id", "turn", ident(F.col("turn")).alias("call_id"), ident(F.col("turn") - 2).alias("parent_id"), F.when(F.col("role") == "user", "reply").otherwise("setup").alias("name"), arguments.alias("arguments"))
-    results = t.filter("role = 'assistant'").select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
+    results = t.filter(~asking).select("conv_id", "turn", ident(F.col("turn") - 1).alias("call_id"), F.col("text").alias("content"))
     return calls, results

@@ -94,7 +94,7 @@ class Workspace:
 # -- words and shingles -------------------------------------------------------
 
 
-def _splitmix(x: np.ndarray) -> np.ndarray:
+def splitmix(x: np.ndarray) -> np.ndarray:
     """Finaliser of the splitmix64 generator, on uint64 arrays."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
@@ -108,12 +108,12 @@ _IS_WORD[[32, 9, 10, 11, 12, 13]] = False
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[65:91] += 32
 with np.errstate(over="ignore"):
-    _BYTE_VALUE = _splitmix((_FOLD.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
-    _PLACE = _splitmix(np.arange(101, 133, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+    _BYTE_VALUE = splitmix((_FOLD.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15))
+    _PLACE = splitmix(np.arange(101, 133, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 _powers: list[np.ndarray] = [np.ones(0, np.uint64), np.ones(0, np.uint64)]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
+def bytes_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_powers[0]) < n:
         size = max(n, 1 << 16)
         with np.errstate(over="ignore"):
@@ -146,10 +146,10 @@ def word_hashes(data: bytes, piece: int = 1 << 18) -> np.ndarray:
             starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
             if not len(starts):
                 continue
-            up, down = _power_tables(len(b) + 1)
+            up, down = bytes_powers(len(b) + 1)
             total = np.zeros(len(b) + 1, dtype=np.uint64)
             np.cumsum(_BYTE_VALUE[b] * up[: len(b)], out=total[1:])
-            parts.append(_splitmix((total[ends] - total[starts]) * down[starts]))
+            parts.append(splitmix((total[ends] - total[starts]) * down[starts]))
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 
@@ -169,14 +169,14 @@ def shingle_set(data: bytes | None, width: int = 5) -> np.ndarray:
         h = np.full(len(w) - k + 1, np.uint64(k), dtype=np.uint64)
         for i in range(k):
             h += w[i : len(w) - k + 1 + i] * _PLACE[i]
-        return np.unique(_splitmix(h))
+        return np.unique(splitmix(h))
 
 
 def set_signature(u: np.ndarray) -> tuple[int, int]:
     """128 order-free bits of a set of hashes, as two signed 64-bit numbers."""
     with np.errstate(over="ignore"):
-        a = np.sum(_splitmix(u ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)
-        b = np.sum(_splitmix(u + np.uint64(0x14057B7EF767814F)), dtype=np.uint64)
+        a = np.sum(splitmix(u ^ np.uint64(0x5851F42D4C957F2D)), dtype=np.uint64)
+        b = np.sum(splitmix(u + np.uint64(0x14057B7EF767814F)), dtype=np.uint64)
     return int(a.view(np.int64)), int(b.view(np.int64))
 
 
@@ -187,6 +187,34 @@ def arrow_bytes(column) -> Iterator[bytes | None]:
     return iter(column.cast(pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()).to_pylist())
 
 
+# -- bitmaps of wanted keys ----------------------------------------------------
+
+#: Bits for each key, and bounds of a bitmap (2 and 32 MB).
+KEY_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 24, 1 << 28
+
+
+def bitmap(keys: DataFrame, column: str, count: int) -> bytes:
+    """A bit for each residue that ``column`` takes, in a size that suits ``count`` keys.
+
+    A key that is absent may find its bit set (more often where the largest
+    size is too small); one that is there never finds it unset.
+    """
+    size = LEAST_BITS
+    while size < min(MOST_BITS, KEY_BITS * count):
+        size *= 2
+    bits = keys.withColumn("r", F.expr(f"pmod({column}, {size}L)"))
+    words = bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
+    dense = np.zeros(size // 64, dtype=np.uint64)
+    dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    return dense.tobytes()
+
+
+def bitmap_hit(bits: bytes, keys: np.ndarray) -> np.ndarray:
+    words = np.frombuffer(bits, dtype=np.uint64)
+    r = keys % (64 * len(words))
+    return ((words[r // 64] >> (r % 64).astype(np.uint64)) & np.uint64(1)).astype(bool)
+
+
 # -- connected components -----------------------------------------------------
 
 

@@ -3,9 +3,10 @@
 Features are hashed byte 1- to 3-grams of the whole folded text (square roots
 of counts, unit length).  A one-versus-rest machine for each family predicts
 the family; inside it, one machine for each pair of languages votes.  All
-machines are trained by dual coordinate descent on the Gram matrix of a bounded
-sample of labelled documents; the features of the sample are computed on the
-executors.
+machines are trained by dual coordinate descent with the weights at hand, on the
+sparse features of a bounded sample of labelled documents; the features of the
+sample are computed on the executors, so the driver's memory grows with the
+non-zero features of at most ``SAMPLE`` documents only.
 """
 
 from __future__ import annotations
@@ -19,10 +20,11 @@ from pyspark.sql import functions as F
 
 from .common import ship_package
 
-#: Bound of the training sample: documents of each language.
-SAMPLE_PER_LANGUAGE = 400
+#: Bounds of the training sample: documents of each language, and of all together
+#: (beyond 64 languages each has an equal share).
+SAMPLE_PER_LANGUAGE, SAMPLE = 400, 25600
 #: Bound of the number of languages learned (the most frequent ones).
-MAX_LANGUAGES = 256
+MAX_LANGUAGES = 1024
 
 # Families of common language codes; any other code is a family of its own.
 FAMILIES = {
@@ -37,7 +39,12 @@ WIDTH = _ONE + _TWO + _THREE
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
-_LETTER = re.compile(r"[^\W\d_]")
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
+
+
+def has_letter(text: str | None) -> bool:
+    """Whether a character is a letter by its Unicode category (number signs are none)."""
+    return bool(text) and any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
 
 
 def gram_counts(data: bytes, piece: int = 1 << 20) -> np.ndarray:
@@ -62,46 +69,46 @@ def features(data: bytes) -> np.ndarray:
     return x / max(1e-9, float(np.sqrt(x @ x)))
 
 
-def train_binary(gram: np.ndarray, y: np.ndarray, cost: float = 10.0, rounds: int = 60) -> np.ndarray:
-    """Dual coefficients (times label) of a linear machine with squared hinge loss.
+def train_binary(rows: list[tuple[np.ndarray, np.ndarray]], y: np.ndarray, cost: float = 10.0, rounds: int = 60) -> tuple[np.ndarray, float]:
+    """Weights and bias of a linear machine with squared hinge loss.
 
-    ``gram`` is the matrix of inner products, plus one for the bias.
+    ``rows`` are the places and values of the non-zero features.
     """
-    n = len(y)
-    alpha, margin = np.zeros(n), np.zeros(n)
+    alpha, weight, bias = np.zeros(len(y)), np.zeros(WIDTH), 0.0
     ridge = 1 / (2 * cost)
+    whole = np.array([v @ v + 1 + ridge for _, v in rows])
     order = np.random.default_rng(7)
     for _ in range(rounds):
         moved = 0.0
-        for i in order.permutation(n):
-            slope = y[i] * margin[i] - 1 + ridge * alpha[i]
-            new = max(0.0, alpha[i] - slope / (gram[i, i] + ridge))
-            step = new - alpha[i]
+        for i in order.permutation(len(y)):
+            at, v = rows[i]
+            slope = y[i] * (weight[at] @ v + bias) - 1 + ridge * alpha[i]
+            step = max(-alpha[i], -slope / whole[i])
             if step:
-                alpha[i] = new
-                margin += step * y[i] * gram[i]
+                alpha[i] += step
+                weight[at] += step * y[i] * v
+                bias += step * y[i]
                 moved = max(moved, abs(step))
         if moved < 1e-3:
             break
-    return alpha * y
+    return weight, bias
 
 
 class LanguageModel:
     """Weights of the family machines and of the pair machines inside families."""
 
-    def __init__(self, labels: list[str], x: np.ndarray, families: dict[str, str] | None = None):
+    def __init__(self, labels: list[str], x: list[tuple[np.ndarray, np.ndarray]], families: dict[str, str] | None = None):
         families = FAMILIES if families is None else families
         y = np.array(labels)
         self.languages = sorted(set(labels))
         self.family_of = {k: families.get(k, f"={k}") for k in self.languages}
         self.families = sorted(set(self.family_of.values()))
-        gram = (x @ x.T).astype(np.float64) + 1
         rows, bias, self.family_rows, self.pair_rows = [], [], {}, {}
 
         def machine(use: np.ndarray, positive: np.ndarray) -> int:
-            beta = train_binary(gram[np.ix_(use, use)], np.where(positive, 1.0, -1.0))
-            rows.append(beta.astype(np.float32) @ x[use])
-            bias.append(beta.sum())
+            weight, at_zero = train_binary([x[i] for i in use], np.where(positive, 1.0, -1.0))
+            rows.append(weight.astype(np.float32))
+            bias.append(at_zero)
             return len(rows) - 1
 
         member = np.array([self.family_of[k] for k in labels])
@@ -148,17 +155,19 @@ class LanguageModel:
         return names, np.clip(scores, 0, 1)
 
 
-def train_language_model(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, max_languages: int = MAX_LANGUAGES) -> LanguageModel | None:
+def train_language_model(labelled: DataFrame, *, text_col: str = "text", lang_col: str = "lang", per_language: int = SAMPLE_PER_LANGUAGE, sample: int = SAMPLE, max_languages: int = MAX_LANGUAGES) -> LanguageModel | None:
     """Fit on at most ``per_language`` documents of each of ``max_languages`` languages.
 
-    The sample takes texts by their hash, equal texts once, whole texts.  None
-    where no labelled text has a letter.
+    The sample takes texts by their hash, equal texts once, whole texts, and
+    ``sample`` of them at most.  Rows without text, letter or language teach
+    nothing.  None where no labelled text has a letter (an empty table, too).
     """
     ship_package(labelled.sparkSession)
     src = labelled.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).filter("lang IS NOT NULL AND text IS NOT NULL")
     counts = src.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).collect()
     if not counts:
         return None
+    per_language = max(1, min(per_language, sample // len(counts)))
     space = 1 << 40
     share = F.coalesce(*[F.when(F.col("lang") == r["lang"], F.lit(min(space, space * 2 * per_language // r["count"] + 1))) for r in counts], F.lit(0))
     rare = src.withColumn("h", F.expr(f"pmod(xxhash64(text), {space})")).filter(F.col("h") < share)
@@ -167,7 +176,7 @@ def train_language_model(labelled: DataFrame, *, text_col: str = "text", lang_co
         for batch in batches:
             out = []
             for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text")), strict=True):
-                if _LETTER.search(text):
+                if has_letter(text):
                     c = gram_counts(text.encode())
                     at = np.flatnonzero(c)
                     out.append((lang, h, at.astype(np.int32).tobytes(), c[at].astype(np.int64).tobytes()))
@@ -176,16 +185,16 @@ def train_language_model(labelled: DataFrame, *, text_col: str = "text", lang_co
 
     grams = rare.dropDuplicates(["lang", "h"]).mapInArrow(run, "lang string, h long, at binary, n binary")
     by_lang: dict[str, list] = {}
-    for r in grams.orderBy("h").limit(2 * per_language * max_languages).toLocalIterator():
+    for r in grams.orderBy("h").limit(2 * per_language * len(counts)).toLocalIterator():
         if len(kept := by_lang.setdefault(r["lang"], [])) < per_language:
             kept.append((r["at"], r["n"]))
     rows = [(k, *v) for k in sorted(by_lang) for v in by_lang[k]]
     if not rows:
         return None
-    x = np.zeros((len(rows), WIDTH), dtype=np.float32)
-    for i, (_, at, n) in enumerate(rows):
-        x[i, np.frombuffer(at, np.int32)] = np.sqrt(np.frombuffer(n, np.int64))
-        x[i] /= np.sqrt(x[i] @ x[i])
+    x = []
+    for _, at, n in rows:
+        n = np.frombuffer(n, np.int64)
+        x.append((np.frombuffer(at, np.int32), np.sqrt(n / n.sum())))
     return LanguageModel([r[0] for r in rows], x)
 
 
@@ -193,7 +202,9 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, *, text_col:
     """``docs`` with ``lang_pred`` and ``score`` added (columns of these names are replaced).
 
     Null texts and texts without a letter are ``und`` with score 0, as is
-    everything when there is no model.
+    everything when there is no model.  Each row is predicted on its own, so
+    repeated rows agree; whole texts count, of any length; an empty table gives
+    no rows; all other columns are kept as they are.
     """
     spark = docs.sparkSession
     ship_package(spark)
@@ -205,7 +216,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, *, text_col:
         for batch in batches:
             texts = batch.column("__terrafold_text").to_pylist()
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
-            use = [i for i, t in enumerate(texts) if sent.value is not None and t and _LETTER.search(t)]
+            use = [i for i, t in enumerate(texts) if sent.value is not None and has_letter(t)]
             for at in range(0, len(use), 256):
                 part = use[at : at + 256]
                 found, sure = sent.value.predict(np.stack([features(texts[i].encode()) for i in part]))

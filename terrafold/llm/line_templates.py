@@ -1,25 +1,30 @@
 """Line dedup by a log-template tree of fixed depth.
 
 A line goes to the leaf of its token count and leading tokens (tokens with a
-digit count as one variable).  Inside a leaf, positions where one token has
-the majority are constant and the others variable; lines that agree with that
-template in enough positions are its instances.  Lines that recur literally
-are templates without variables.  A template whose instances stand in enough
+digit count as one variable).  Inside a leaf, a token that is frequent at its
+position is constant and any other variable; lines with the same constants at
+the same positions have the same template.  Lines that recur literally are
+templates without variables.  A template whose instances stand in enough
 different documents is boilerplate, and its lines are dropped.
 
 All steps are aggregations and joins on hashes, so a leaf of any size spreads
-over tasks.  Copies of whole documents are not boilerplate: a holder of a line
-counts by the least hash of its other lines (two independent ones), which near
-copies share.  Lines and texts that cannot matter are kept out of the shuffles
-by tables of hash residues, at most 2^20 rows each, that are broadcast.
+over tasks and any number of templates is found at once.  Copies of whole
+documents are not boilerplate: a holder of a line is known by least hashes of
+its other lines (long lines weigh more), which near copies share.
+
+Lines are parsed in numpy, in pieces of about 1 MB.  The first pass counts
+leaves; the second gives hashes of the lines in leaves that can matter, which a
+bitmap of bounded size tells (where it is too full, more lines take part).
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace
+from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, bytes_powers, splitmix, tidy
 
 #: Leading tokens of a leaf.
 DEPTH = 4
@@ -27,92 +32,206 @@ DEPTH = 4
 MIN_DOCS = 3
 #: Different documents among all that hold the template: less means copies of documents.
 MIN_SHARE = 0.3
-#: Share of positions in which a line must agree with its template.
+#: The same, where documents count that share none of ``SKETCHES`` hashes with another holder.
+MIN_ALONE, SKETCHES = 0.03, 4
+#: Share of positions that must be constant in a template.
 SIMILARITY = 0.7
-#: Templates looked for in a leaf, one after another.
-ROUNDS = 2
-#: Residues of a broadcast filter (bound of its rows).
-RESIDUES = 1 << 20
-
-
-def _lines(docs: DataFrame, text_col: str) -> DataFrame:
-    """One row for each non-blank line: text key (t1, t2), sketches of its other lines, leaf and form."""
-    d = docs.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
-    d = d.withColumn("t1", F.xxhash64("text")).withColumn("t2", F.length("text")).withColumn("all", F.split("text", "\n"))
-    d = d.withColumn("own", F.array_distinct(F.filter("all", lambda x: F.trim(x) != "")))
-    for k in (1, 2):
-        d = d.withColumn(f"h{k}", F.slice(F.array_sort(F.transform("own", lambda x, k=k: F.xxhash64(F.lit(k), x))), 1, 2))
-    x = d.select("t1", "t2", "h1", "h2", F.posexplode("all").alias("pos", "line")).filter(F.trim("line") != "")
-    for k in (1, 2):
-        least, second = F.get(f"h{k}", F.lit(0)), F.get(f"h{k}", F.lit(1))
-        x = x.withColumn(f"s{k}", F.coalesce(F.when(F.xxhash64(F.lit(k), "line") == least, second).otherwise(least), F.lit(0)).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int"))
-    x = x.withColumn("line", F.trim("line"))
-    masked = F.when(F.col("line").rlike("[0-9]"), F.regexp_replace("line", r"\S*[0-9]\S*", "<*>")).otherwise(F.col("line"))
-    x = x.withColumn("m", masked).withColumn("n", (F.length("m") - F.length(F.replace("m", F.lit(" "))) + 1).cast("int"))
-    return x.withColumn("leaf", F.xxhash64("n", F.substring_index("m", " ", DEPTH))).withColumn("m1", F.xxhash64("m"))
-
-
-def _residue(c: str):
-    return F.expr(f"cast(pmod({c}, {RESIDUES}) AS int)")
-
-
-def _may_be_in(rows: DataFrame, keys: DataFrame, c: str) -> DataFrame:
-    """Rows whose column ``c`` may be among ``keys``; a wrong pass is sorted out later."""
-    residues = keys.select(_residue(c).alias("residue")).distinct()
-    return rows.withColumn("residue", _residue(c)).join(F.broadcast(residues), "residue", "left_semi").drop("residue")
+#: Bytes parsed at once.
+PIECE = 1 << 20
+#: Any character but the blanks of the contracts (space and U+0009-U+000D).
+INK = r"[^\x20\x09-\x0D]"
+
+_INK = np.ones(256, dtype=bool)
+_INK[[32, 9, 10, 11, 12, 13]] = False
+_DIGIT = np.zeros(256, dtype=bool)
+_DIGIT[48:58] = True
+with np.errstate(over="ignore"):
+    _VALUE = splitmix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+_VARIABLE = np.uint64(0x2545F4914F6CDD1D)
+_STEP, _LEAF = np.uint64(0xD1342543DE82EF95), np.uint64(0xA0761D6478BD642F)
+
+
+def _parse(data: bytes):
+    """Of the lines of ``data`` that have tokens: line number, token count, leaf, form; and the tokens' hashes with their counts."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(b) + 2, dtype=np.int8)
+    inside[1:-1] = _INK[b]
+    step = np.diff(inside)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    if not len(starts):
+        none = np.zeros(0, np.int64)
+        return none, none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64)
+    with np.errstate(over="ignore"):
+        up, down = bytes_powers(len(b) + 1)
+        total = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum(_VALUE[b] * up[: len(b)], out=total[1:])
+        token = splitmix((total[ends] - total[starts]) * down[starts])
+        digits = np.zeros(len(b) + 1, dtype=np.int32)
+        np.cumsum(_DIGIT[b], out=digits[1:])
+        token[digits[ends] > digits[starts]] = _VARIABLE
+        line = np.searchsorted(np.flatnonzero(b == 10), starts)
+        first = np.flatnonzero(np.diff(line, prepend=-1))
+        n = np.diff(first, append=len(token))
+        place = np.arange(len(token)) - np.repeat(first, n)
+        placed = splitmix(token + place.astype(np.uint64) * _STEP)
+        form = splitmix(np.add.reduceat(placed, first) + n.astype(np.uint64))
+        placed[place >= DEPTH] = 0
+        leaf = splitmix(np.add.reduceat(placed, first) ^ (n.astype(np.uint64) * _LEAF))
+    return line[first], n, leaf, form, token
+
+
+def _lines(texts):
+    """``_parse`` over many texts at once; numbers of texts come first, line numbers are those in the text."""
+    got, held, size = [], [], 0
+
+    def flush():
+        at = np.array([i for i, _, _ in held])
+        base = np.array([o for _, o, _ in held])
+        inner = np.array([d.count(b"\n") + 1 for _, _, d in held])
+        begin = np.cumsum(inner) - inner
+        line, *rest = _parse(b"\n".join(d for _, _, d in held))
+        which = np.searchsorted(begin, line, side="right") - 1
+        got.append((at[which], line - begin[which] + base[which], *rest))
+        held.clear()
+
+    for i, data in enumerate(texts):
+        if not data:
+            continue
+        at, lines = 0, 0
+        while at < len(data):  # long texts in pieces of whole lines
+            end = len(data) if len(data) - at <= PIECE else data.find(b"\n", at + PIECE)
+            end = len(data) if end < 0 else end
+            part = data[at:end] if at or end < len(data) else data
+            held.append((i, lines, part))
+            size += len(part)
+            lines += part.count(b"\n") + 1
+            at = end + 1
+            if size >= PIECE:
+                flush()
+                size = 0
+    if held:
+        flush()
+    if not got:
+        none = np.zeros(0, np.int64)
+        return none, none, none, none.view(np.uint64), none.view(np.uint64), none.view(np.uint64)
+    return tuple(np.concatenate(x) for x in zip(*got, strict=True))
+
+
+def _count_leaves(batches):
+    for batch in batches:
+        leaf, n = np.unique(_lines(arrow_bytes(batch.column(0)))[3], return_counts=True)
+        yield pa.record_batch([pa.array(leaf.view(np.int64)), pa.array(n)], names=["leaf", "n"])
+
+
+def _sketches(text: np.ndarray, n: np.ndarray, form: np.ndarray) -> list[np.ndarray]:
+    """Of each line ``SKETCHES`` least hashes of the other, different lines of its text (0: no other)."""
+    out = []
+    first = np.flatnonzero(np.diff(text, prepend=-1))
+    count = np.diff(first, append=len(text))
+    for k in range(SKETCHES):
+        with np.errstate(over="ignore"):
+            u = splitmix(form + np.uint64(k + 1) * _STEP)
+        rank = -np.log((u >> np.uint64(11)).astype(np.float64) * 2.0**-53 + 2.0**-54) / n
+        least = np.repeat(np.minimum.reduceat(rank, first), count) if len(first) else rank
+        mine = rank == least
+        second = np.repeat(np.minimum.reduceat(np.where(mine, np.inf, rank), first), count) if len(first) else rank
+        rest = np.where(mine, second, least)
+        bits = splitmix(rest.view(np.uint64)) >> np.uint64(1)
+        out.append(np.where(np.isinf(rest), 0, bits.view(np.int64)))
+    return out
+
+
+_SKETCHES = [f"s{k}" for k in range(SKETCHES)]
+
+
+def _busy_lines(busy):
+    def run(batches):
+        for batch in batches:
+            text, pos, n, leaf, form, token = _lines(arrow_bytes(batch.column("text")))
+            near = _sketches(text, n, form)
+            keep = bitmap_hit(busy.value, leaf.view(np.int64))
+            long = keep & (n > DEPTH)
+            offsets = np.zeros(int(keep.sum()) + 1, dtype=np.int32)
+            np.cumsum(np.where(long, n, 0)[keep], out=offsets[1:])
+            tokens = pa.ListArray.from_arrays(pa.array(offsets), pa.array(token[np.repeat(long, n)].view(np.int64)))
+            row = pa.array(text[keep])
+            yield pa.record_batch(
+                [batch.column("t1").take(row), batch.column("t2").take(row), pa.array(pos[keep].astype(np.int32)), pa.array(n[keep].astype(np.int32)), pa.array(leaf[keep].view(np.int64)), pa.array(form[keep].view(np.int64)), *[pa.array(s[keep]) for s in near], tokens],
+                names=["t1", "t2", "pos", "n", "leaf", "form", *_SKETCHES, "tokens"],
+            )
+
+    return run
 
 
 def _recurring(held: DataFrame, key: list[str], min_docs: int) -> DataFrame:
-    """Keys whose holders, ``t1, t2, s1, s2`` a row, are enough different documents."""
+    """Keys whose holders, rows with ``t1`` and sketches, are enough different documents."""
     often = held.groupBy(*key).count().filter(F.col("count") >= min_docs).select(*key)
-    one = held.join(often, key, "left_semi").groupBy(*key, "t1", "t2").agg(F.min("s1").alias("s1"), F.min("s2").alias("s2"))
-    seen = one.groupBy(*key).agg(F.count("*").alias("docs"), F.count_distinct("s1").alias("d1"), F.count_distinct("s2").alias("d2"))
-    different = F.greatest("d1", "d2")
-    return seen.filter((F.col("docs") >= min_docs) & (different >= min_docs) & (different >= MIN_SHARE * F.col("docs"))).select(*key)
+    one = held.join(often, key, "left_semi").groupBy(*key, "t1").agg(*[F.min(s).alias(s) for s in _SKETCHES])
+    met = one.select(*key, "t1", F.posexplode(F.array(*_SKETCHES)).alias("k", "v")).groupBy(*key, "k", "v").agg(F.count("*").alias("holders"), F.min("t1").alias("t1"))
+    docs = met.groupBy(*key).agg(F.sum(F.when(F.col("k") == 0, F.col("holders"))).alias("docs"), F.count_if(F.col("k") == 0).alias("d0"), F.count_if(F.col("k") == 1).alias("d1"))
+    alone = met.filter("holders = 1").groupBy(*key, "t1").count().filter(F.col("count") == SKETCHES).groupBy(*key).agg(F.count("*").alias("alone"))
+    seen = docs.filter(F.col("docs") >= min_docs).join(alone, key, "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
+    different = F.greatest("d0", "d1")
+    few = (different >= min_docs) & (different >= MIN_SHARE * F.col("docs"))
+    return seen.filter(few | ((F.col("alone") >= min_docs) & (F.col("alone") >= MIN_ALONE * F.col("docs")))).select(*key)
+
+
+def _masks(batches):
+    """Positions to drop as booleans by position."""
+    for batch in batches:
+        masks = []
+        for pos in batch.column("pos").to_pylist():
+            mask = np.zeros(max(pos) + 1, dtype=bool)
+            mask[pos] = True
+            masks.append(mask)
+        offsets = np.zeros(len(masks) + 1, dtype=np.int32)
+        np.cumsum([len(m) for m in masks], out=offsets[1:])
+        flat = pa.array(np.concatenate(masks) if masks else np.zeros(0, bool))
+        yield pa.record_batch([batch.column("t1"), batch.column("t2"), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([int(m.sum()) for m in masks], pa.int64())], names=["t1", "t2", "gone", "n_gone"])
 
 
 def recurring_lines(docs: DataFrame, ws: Workspace, *, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``t1, t2, drop``: of each text (by hash and length) the positions of its recurring lines."""
-    form = ["leaf", "m1"]
+    """``t1, t2, gone, n_gone``: of each text (by two hashes) which lines recur, by position."""
+    spark = ws.spark
+    src = docs.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
     # Leaves with fewer lines than documents asked for have no recurring template.
-    busy = _lines(docs, text_col).groupBy("leaf").count().filter(F.col("count") >= min_docs).select("leaf")
-    busy = ws.save(busy, "busy")
-    shared = _may_be_in(_lines(docs, text_col), busy, "leaf").select("t1", "t2", "s1", "s2", "pos", "n", *form)
-    shared = ws.save(shared.join(busy, "leaf", "left_semi"), "shared")
-    exact = ws.save(_recurring(shared.select("t1", "t2", "s1", "s2", *form), form, min_docs), "exact")
-    dropped = [shared.join(exact, form, "left_semi").select("t1", "t2", "pos")]
-
-    # The words of the other lines, once for each different form.
-    weight = shared.filter(F.col("n") > DEPTH).groupBy(*form).agg(F.count("*").alias("w")).join(exact, form, "left_anti")
-    several = weight.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("w").alias("all")).filter((F.col("forms") >= 2) & (F.col("all") >= min_docs)).select("leaf")
-    weight = ws.save(weight.join(several, "leaf", "left_semi"), "weights")
-    open_forms = weight
-    if weight.take(1):
-        words = _may_be_in(_lines(docs, text_col).select("m", *form), weight, "m1").join(weight, form).groupBy(*form).agg(F.first("m").alias("m"), F.first("w").alias("w"))
-        words = ws.save(words.select(*form, "w", F.posexplode(F.split("m", " ")).alias("i", "token")), "words")
-        for _ in range(ROUNDS):
-            w = words.join(open_forms.select(*form), form, "left_semi")
-            total = open_forms.groupBy("leaf").agg(F.sum("w").alias("total"))
-            top = w.groupBy("leaf", "i", "token").agg(F.sum("w").alias("w")).groupBy("leaf", "i").agg(F.max_by("token", F.struct("w", "token")).alias("constant"), F.max("w").alias("best"))
-            template = top.join(total, "leaf").filter("2 * best > total").select("leaf", "i", "constant")
-            match = w.join(template, ["leaf", "i"], "left").groupBy(*form).agg(F.count("*").alias("places"), F.count_if(F.col("token") == F.col("constant")).alias("same"))
-            match = ws.save(match.filter(F.col("same") >= SIMILARITY * F.col("places")).select(*form), "match")
-            held = ws.save(_may_be_in(shared, match, "m1").join(match, form, "left_semi"), "held")
-            found = _recurring(held.select("t1", "t2", "s1", "s2", "leaf"), ["leaf"], min_docs)
-            dropped.append(held.join(found, "leaf", "left_semi").select("t1", "t2", "pos"))
-            open_forms = ws.save(open_forms.join(match, form, "left_anti"), "open")
-    out = dropped[0]
-    for d in dropped[1:]:
-        out = out.unionByName(d)
-    return ws.save(out.groupBy("t1", "t2").agg(F.sort_array(F.collect_set("pos")).alias("drop")), "drop")
+    busy, seen = ws.save_counted(src.mapInArrow(_count_leaves, "leaf long, n long").groupBy("leaf").agg(F.sum("n").alias("n")).filter(F.col("n") >= min_docs).select("leaf"), "busy", n=F.count(F.lit(1)))
+    with tidy(spark):
+        sent = spark.sparkContext.broadcast(bitmap(busy, "leaf", seen["n"]))
+    texts = src.select(F.xxhash64("text").alias("t1"), F.xxhash64(F.lit(17), "text").alias("t2"), "text")
+    schema = "t1 long, t2 long, pos int, n int, leaf long, form long, " + ", ".join(f"{s} long" for s in _SKETCHES) + ", tokens array<long>"
+    shared = ws.save(texts.mapInArrow(_busy_lines(sent), schema), "shared")
+    sent.destroy()
+    key = ["leaf", "form"]
+    exact = ws.save(_recurring(shared.select(*key, "t1", *_SKETCHES), key, min_docs), "exact")
+    dropped = shared.select("t1", "t2", "pos", *key).join(exact, key, "left_semi").select("t1", "t2", "pos")
+
+    # Frequent tokens of the other forms' leaves, by position.
+    words = shared.filter(F.col("n") > DEPTH).join(exact, key, "left_anti").groupBy("leaf", "form").agg(F.count("*").alias("w"), F.min(F.struct("t1", "t2", "pos")).alias("first"))
+    several = words.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("w").alias("all")).filter((F.col("forms") >= 2) & (F.col("all") >= min_docs)).select("leaf")
+    words = words.join(several, "leaf", "left_semi").select("leaf", "form", "w", "first.*")
+    words = words.join(shared.select("t1", "t2", "pos", "leaf", "form", "tokens"), ["t1", "t2", "pos", "leaf", "form"]).dropDuplicates(["leaf", "form"])
+    words = ws.save(words.select("leaf", "form", "w", F.posexplode("tokens").alias("i", "token")), "words")
+    constant = words.groupBy("leaf", "i", "token").agg(F.sum("w").alias("all")).filter(F.col("all") >= min_docs).select("leaf", "i", "token", F.lit(1).alias("one"))
+    form = words.join(constant, ["leaf", "i", "token"], "left").groupBy("leaf", "form").agg(F.count("*").alias("places"), F.count("one").alias("same"), F.bit_xor(F.when(F.col("one") == 1, F.xxhash64("i", "token"))).alias("template"))
+    form = ws.save(form.filter(F.col("same") >= SIMILARITY * F.col("places")).select("leaf", "form", "template"), "templates")
+    held = ws.save(shared.select("t1", "t2", "pos", *key, *_SKETCHES).join(form, key).drop("form"), "held")
+    found = _recurring(held.select("leaf", "template", "t1", *_SKETCHES), ["leaf", "template"], min_docs)
+    dropped = dropped.unionByName(held.join(found, ["leaf", "template"], "left_semi").select("t1", "t2", "pos"))
+    per_text = dropped.groupBy("t1", "t2").agg(F.collect_set("pos").alias("pos"))
+    gone = ws.save(per_text.mapInArrow(_masks, "t1 long, t2 long, gone array<boolean>, n_gone long"), "gone")
+    ws.drop(busy, shared, exact, words, form, held)
+    return gone
 
 
 def drop_template_lines(docs: DataFrame, *, text_col: str = "text", min_docs: int = MIN_DOCS, workspace: Workspace | None = None) -> DataFrame:
     """``docs`` with recurring lines taken out of ``text_col``, and ``n_lines``, ``n_dropped`` added.
 
-    Lines are cut at newlines; n_lines counts all of them, blank ones too.  A
-    document that has nothing but recurring lines (or would keep only blank
-    ones) stays as it is: copies of whole documents are not this operator's.
+    Lines are cut at newlines; n_lines counts all of them, blank ones too.
+    Tokens are cut at space and U+0009-U+000D; a line without tokens is blank
+    and never dropped.  A document that has nothing but recurring lines (or
+    would keep only blank ones) stays as it is: copies of whole documents are
+    not this operator's.
 
     Defined cases: a null text has no lines and stays null; an empty text is
     one blank line; a line must recur in ``min_docs`` different texts, so
@@ -120,20 +239,16 @@ def drop_template_lines(docs: DataFrame, *, text_col: str = "text", min_docs: in
     order of lines and all other columns are kept.
     """
     ws = workspace or Workspace(docs.sparkSession, "lines")
-    drop = recurring_lines(docs, ws, text_col=text_col, min_docs=min_docs)
-    names = docs.columns
-    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in names if c not in ("n_lines", "n_dropped")]).alias("row"))
+    gone = recurring_lines(docs, ws, text_col=text_col, min_docs=min_docs)
+    names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     text = F.col("row").getField(text_col).cast("string")
-    d = packed.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.length(text)).withColumn("residue", _residue("t1"))
-    residues = F.broadcast(drop.select(_residue("t1").alias("residue")).distinct())
-    # Only texts that may have something to drop go through the join.
-    touched = d.join(residues, "residue", "left_semi").join(drop, ["t1", "t2"], "left").select("row", "drop")
-    d = touched.unionByName(d.join(residues, "residue", "left_anti").select("row", F.lit(None).cast("array<int>").alias("drop")))
-    lines = F.split(text, "\n")
-    kept = F.filter(lines, lambda x, i: ~F.array_contains("drop", i))
-    d = d.withColumn("kept", F.when(F.col("drop").isNotNull(), kept))
-    whole = F.coalesce(~F.exists("kept", lambda x: F.trim(x) != ""), F.lit(True))
-    d = d.withColumn("n_lines", F.when(text.isNull(), 0).otherwise(F.size(lines)).cast("long"))
-    d = d.withColumn("n_dropped", F.when(whole, 0).otherwise(F.size("drop")).cast("long"))
-    d = d.withColumn("new", F.when(whole, text).otherwise(F.array_join("kept", "\n")))
-    return d.select(*[(F.col("new").alias(c) if c == text_col else F.col("row").getField(c).alias(c)) for c in names if c not in ("n_lines", "n_dropped")], "n_lines", "n_dropped")
+    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    d = d.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.xxhash64(F.lit(17), text)).join(gone, ["t1", "t2"], "left")
+    d = d.withColumn("lines", F.split(text, "\n"))
+    kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
+    d = d.withColumn("new", F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n")))
+    whole = ~F.coalesce(F.col("new").rlike(INK), F.lit(False))
+    n_lines = F.when(text.isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines")
+    n_dropped = F.when(whole, 0).otherwise(F.col("n_gone")).cast("long").alias("n_dropped")
+    new = F.when(whole, text).otherwise(F.col("new")).alias(text_col)
+    return d.select(*[(new if c == text_col else F.col("row").getField(c).alias(c)) for c in names], n_lines, n_dropped)

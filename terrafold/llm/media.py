@@ -59,11 +59,16 @@ def decode_netpbm(data: bytes) -> np.ndarray:
         at = m.end()
     w, h = want[:2]
     high = want[2] if len(want) > 2 else 1
+    if not (w and h and 1 <= high <= 65535):
+        raise ValueError("Netpbm header out of range")
     depth = 3 if kind in (3, 6) else 1
     if kind <= 3:
         body = re.sub(rb"#[^\n]*", b"", data[at:])
         cells = list(body.translate(None, b" \t\r\n\v\f")[: w * h]) if kind == 1 else body.split()[: w * h * depth]
-        flat = np.array([int(c) - (48 if kind == 1 else 0) for c in cells], dtype=np.uint16 if high > 255 else np.uint8)
+        cells = [int(c) - (48 if kind == 1 else 0) for c in cells]
+        if any(not 0 <= c <= high for c in cells):
+            raise ValueError("a sample exceeds the greatest value")
+        flat = np.array(cells, dtype=np.uint16 if high > 255 else np.uint8)
     elif kind == 4:
         stride = (w + 7) // 8
         bits = np.unpackbits(np.frombuffer(data, np.uint8, stride * h, at + 1).reshape(h, stride), axis=1)
@@ -80,6 +85,8 @@ def decode_bmp(data: bytes) -> np.ndarray:
     start, size, w, h, _, bits, packed = struct.unpack_from("<IIiiHHI", data, 10)
     if packed not in (0, 3) or bits not in (8, 24, 32):
         raise ValueError("BMP form is not supported")
+    if w < 1 or not h:
+        raise ValueError("BMP header out of range")
     stride = (w * bits // 8 + 3) // 4 * 4
     rows = np.frombuffer(data, np.uint8, stride * abs(h), start).reshape(abs(h), stride)
     rows = rows[::-1] if h > 0 else rows
@@ -159,7 +166,9 @@ def decode_media(images: DataFrame, *, id_col: str, image_col: str) -> DataFrame
     """``id, height, width, channels, tiles array<binary>, feature, error`` of an image column.
 
     Bytes that cannot be decoded (null and empty ones too) give an error text
-    and null columns; no row is lost.
+    and null columns; no row is lost.  Repeated rows are decoded each, a null
+    id stays null, an empty table gives no rows, other columns are ignored, and
+    an image is held in memory whole, whatever its size.
     """
     ship_package(images.sparkSession)
 
@@ -171,7 +180,7 @@ def decode_media(images: DataFrame, *, id_col: str, image_col: str) -> DataFrame
                     a = decode_image(data or b"")
                     shape = (a.shape[0], a.shape[1], 1 if a.ndim == 2 else a.shape[2])
                     out.append((key, *shape, to_tiles(a), difference_hash(a), None))
-                except (ValueError, struct.error, IndexError) as why:
+                except (ValueError, OverflowError, struct.error, IndexError) as why:
                     out.append((key, None, None, None, None, None, str(why)))
             kinds = (batch.column("id").type, pa.int32(), pa.int32(), pa.int32(), pa.list_(pa.binary()), pa.string(), pa.string())
             cols = zip(*out, strict=True) if out else [[]] * 7

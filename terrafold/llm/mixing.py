@@ -9,7 +9,7 @@ never plays a block more than ``max_repeats`` times.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
@@ -19,8 +19,9 @@ from .common import WORD_RE, Workspace
 BLOCK = 1024
 #: Blocks that a smaller source is cut into (at most one a word).
 LEAST_BLOCKS = 4096
-#: Buckets of the shuffle order of a source; each is ordered and summed on its own.
-BUCKETS = 4096
+#: Buckets of the shuffle order of a source, each ordered and summed on its own:
+#: at least 2^LEAST_BUCKET_BITS, and more where a bucket would exceed BUCKET_ROWS documents.
+LEAST_BUCKET_BITS, BUCKET_ROWS = 12, 16384
 #: Slots ranked together.
 STRIDE = 8192
 #: Cells of the unit interval by which points meet the intervals of sources.
@@ -52,6 +53,20 @@ def source_targets(totals: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0,
     return t.select("source", "source_size", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.col("cap")).alias("target"))
 
 
+def block_start(block: str) -> Column:
+    """First word of a block: of L words in n blocks the first L mod n have one word more.
+
+    No product exceeds L, whatever the size of the source.
+    """
+    return F.expr(f"({block}) * (source_size DIV blocks) + least({block}, source_size % blocks)")
+
+
+def block_of(word: str) -> Column:
+    """The block that holds a word."""
+    longer = "(source_size % blocks) * (source_size DIV blocks + 1)"
+    return F.expr(f"CASE WHEN {word} < {longer} THEN ({word}) DIV (source_size DIV blocks + 1) ELSE source_size % blocks + ({word} - {longer}) DIV (source_size DIV blocks) END")
+
+
 def schedule(sources: DataFrame, slots: int, ws: Workspace) -> DataFrame:
     """``key, blocks, rank`` of each played slot, for sources ``key, blocks, plays, lo, hi``.
 
@@ -88,8 +103,11 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     base = ws.save(src.withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit(""))).withColumn("h", F.xxhash64("doc_id", F.lit(seed))), "sizes")
 
     # Sources: sizes, targets, blocks and intervals.
-    totals = base.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
-    s = source_targets(totals, weights=weights, max_repeats=max_repeats).withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
+    totals = base.groupBy("key").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count("*").alias("rows"))
+    totals = ws.save(totals, "totals")
+    most = totals.agg(F.max("rows")).first()[0] or 1
+    bits = max(LEAST_BUCKET_BITS, (-(-most // BUCKET_ROWS) - 1).bit_length())
+    s = source_targets(totals.drop("rows"), weights=weights, max_repeats=max_repeats).withColumn("key", F.coalesce(F.concat(F.lit("="), F.col("source")), F.lit("")))
     s = s.withColumn("blocks", F.least(F.col("source_size"), F.greatest(F.ceil(F.col("source_size") / BLOCK), F.lit(LEAST_BLOCKS))))
     s = s.withColumn("plays", F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size") * F.col("blocks")).otherwise(0.0))
     line = W.orderBy("key").rowsBetween(W.unboundedPreceding, 0)
@@ -103,7 +121,7 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     times = played.groupBy("key", F.expr("rank % blocks").alias("block")).agg(F.count("*").alias("times"))
 
     # The shuffled stream of each source: places by hash order, summed bucket by bucket.
-    b = base.filter("size > 0").withColumn("bucket", F.shiftrightunsigned("h", 52)).withColumn("bucket", F.expr(f"bucket % {BUCKETS}"))
+    b = base.filter("size > 0").withColumn("bucket", F.shiftrightunsigned("h", 64 - bits))
     width = b.groupBy("key", "bucket").agg(F.sum("size").alias("width"))
     width = width.withColumn("from", F.coalesce(F.sum("width").over(W.partitionBy("key").orderBy("bucket").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     inner = W.partitionBy("key", "bucket").orderBy("h", "doc_id", "size").rowsBetween(W.unboundedPreceding, -1)
@@ -111,11 +129,8 @@ def mix_sources(docs: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0, 1.0)
     placed = placed.withColumn("start", F.col("from") + F.col("start")).drop("from", "bucket", "h", "source")
     placed = placed.join(s.select("key", "source_size", "target", "blocks"), "key")
 
-    # Block i of n holds the words from floor(i * L / n): documents in pieces by block.
-    first = F.expr("((start + 1) * blocks - 1) DIV source_size")
-    last = F.expr("((start + size) * blocks - 1) DIV source_size")
-    piece = placed.withColumn("block", F.explode(F.sequence(first, last)))
-    piece = piece.withColumn("words", F.expr("least(start + size, ((block + 1) * source_size) DIV blocks) - greatest(start, (block * source_size) DIV blocks)"))
+    piece = placed.withColumn("block", F.explode(F.sequence(block_of("start"), block_of("start + size - 1"))))
+    piece = piece.withColumn("words", F.least(F.expr("start + size"), block_start("block + 1")) - F.greatest("start", block_start("block")))
     mixed = piece.join(times, ["key", "block"], "left").withColumn("words", F.col("words") * F.coalesce("times", F.lit(0)))
     carried = [f"keep_{i}" for i in range(len(keep))]
     taken = mixed.groupBy("key", "start", "doc_id", "size", "source_size", "target").agg(F.sum("words").alias("taken"), *[F.first(c).alias(c) for c in carried])

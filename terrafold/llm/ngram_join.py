@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Workspace, arrow_bytes, connected_components, set_signature, shingle_set, tidy
+from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, connected_components, set_signature, shingle_set, tidy
 
 #: Buckets of the frequency sketch (one byte each when sent to the executors).
 SKETCH_BITS = 18
@@ -35,8 +35,6 @@ SKETCH_BITS = 18
 HUB_PAIRS = 256
 #: Hubs that a group is held against in the first round.
 HUBS = 3
-#: Bits of the filter on wanted texts for each of them, and its bounds (2 and 32 MB).
-KEY_BITS, LEAST_BITS, MOST_BITS = 16, 1 << 24, 1 << 28
 
 
 def _bucket_counts(width: int):
@@ -98,24 +96,12 @@ def _prefixes(width: int, percent: int, levels):
     return run
 
 
-def _filter_words(keys: DataFrame, size: int) -> np.ndarray:
-    """A bit for each of ``size`` residues of the keys."""
-    bits = keys.withColumn("r", F.expr(f"pmod(t1, {size}L)"))
-    words = bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
-    dense = np.zeros(size // 64, dtype=np.uint64)
-    dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
-    return dense
-
-
 def _passing(bits):
-    """Rows whose t1 has its bit set; a wrong pass costs a row, no row is lost."""
+    """Rows whose t1 may be wanted; a wrong pass costs a row, no row is lost."""
 
     def run(batches):
-        words = np.frombuffer(bits.value, dtype=np.uint64)
         for batch in batches:
-            r = batch.column("t1").to_numpy() % (64 * len(words))
-            hit = (words[r // 64] >> (r % 64).astype(np.uint64)) & np.uint64(1)
-            yield batch.filter(pa.array(hit.astype(bool)))
+            yield batch.filter(pa.array(bitmap_hit(bits.value, batch.column("t1").to_numpy())))
 
     return run
 
@@ -196,11 +182,8 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         pairs = pairs.join(sizes, "a").withColumn("salt", F.expr("pmod(xxhash64(b), parts)")).drop("parts")
         rows = pairs.select("a", "salt", F.lit(1).alias("side"), "b", F.col("b").alias("cid")).unionByName(pairs.select("a", "salt", F.lit(0).alias("side"), F.col("a").alias("b"), F.col("a").alias("cid")).distinct())
         rows, seen = ws.save_counted(rows.join(nodes.select("cid", "t1", "t2"), "cid").drop("cid"), "wanted", n=F.count(F.lit(1)))
-        size = LEAST_BITS
-        while size < min(MOST_BITS, KEY_BITS * seen["n"]):
-            size *= 2
         with tidy(spark):
-            bits = spark.sparkContext.broadcast(_filter_words(rows, size).tobytes())
+            bits = spark.sparkContext.broadcast(bitmap(rows, "t1", seen["n"]))
         near = hashed.filter("text IS NOT NULL").select("t1", "t2", "text").mapInArrow(_passing(bits), "t1 long, t2 long, text string")
         near = near.groupBy("t1", "t2").agg(F.first("text").alias("text"))
         dealt = rows.join(near, ["t1", "t2"]).select("a", "salt", "side", "b", "text").repartition("a", "salt").sortWithinPartitions("a", "salt", "side")

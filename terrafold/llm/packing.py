@@ -4,12 +4,15 @@ Documents are routed to tiers by their length (512, 1024, 2048, 4096 tokens);
 what exceeds the largest tier is cut into whole windows first.  Each tier packs
 its documents best-fit into windows of its own size; the gap that is left in a
 window is filled from the next shorter tiers, whose last document is cut to
-fit.  Every window of a tier counts as one of a step group, and all groups hold
-the same number of token places.
+fit.  Windows of one length form step groups that hold the same number of
+token places.  A task numbers the groups that it fills; the windows of those it
+cannot fill are counted over all tasks and regrouped, so that only the last
+group of each length is short.
 
 Packing runs where the ids are made, so no ids are shuffled; what a task
 cannot fill at its end (less than one window) goes on to a second, much
-smaller packing of such remainders.
+smaller packing of such remainders, which ends in windows of shorter powers of
+two, without padding.
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 from .common import Workspace
 from .tokens import tokenizer
@@ -30,7 +34,10 @@ TIERS = (512, 1024, 2048, 4096)
 #: Token places of a step group, a multiple of every tier.
 STEP_TOKENS = 65536
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, window long, step_group long"
-_COLUMNS = [c.split()[0] for c in PIECES.split(", ")]
+#: Of a placed piece also its window's place in the step group; of a group that a
+#: task left short, a row with its window, step_group and number of windows (place) only.
+_PLACED = PIECES + ", place long"
+_COLUMNS = [c.split()[0] for c in _PLACED.split(", ")]
 
 
 class Piece:
@@ -154,12 +161,15 @@ class TierPacker:
         return list(queue)
 
     def finish(self) -> None:
-        """Place the remainder too: in shorter windows, the very last one padded."""
-        rest = self.remainder()
-        for t in reversed(self.tiers[:-1]):
-            rest = self.windows(rest, t)
-        if rest:
-            self.emit(rest, self.tiers[-1])
+        """Place the remainder too, in windows of shorter powers of two."""
+        rest, size = self.remainder(), self.tiers[-1]
+        while rest:
+            size //= 2
+            rest = self.windows(rest, size)
+
+    def short_groups(self) -> list[tuple]:
+        """A row for each step group that is begun and not full."""
+        return [(None,) * 7 + (w, g, STEP_TOKENS // w - left) for w, (g, left) in self.groups.items() if left]
 
     def emit(self, pieces: list[Piece], window: int) -> None:
         sequence, at = self.base + self.count, 0
@@ -168,17 +178,18 @@ class TierPacker:
         if group[1] == 0:
             group[0], group[1] = self.base + self.made, STEP_TOKENS // window
             self.made += 1
+        place = STEP_TOKENS // window - group[1]
         group[1] -= 1
         for p in pieces:
             n = len(p)
-            self.rows.append((p.doc_id, p.start, n, zlib.crc32(p.ids), p.total, sequence, at, window, group[0]))
+            self.rows.append((p.doc_id, p.start, n, zlib.crc32(p.ids), p.total, sequence, at, window, group[0], place))
             at += n
 
 
 def _batch(rows: list[tuple], rest: list[Piece]):
     cols = list(zip(*rows, strict=True)) if rows else [[] for _ in _COLUMNS]
     empty = [None] * len(rest)
-    arrays = [pa.array([*c, *e], pa.int64()) for c, e in zip(cols, [[p.doc_id for p in rest], [p.start for p in rest], [len(p) for p in rest], empty, [p.total for p in rest], empty, empty, empty, empty], strict=True)]
+    arrays = [pa.array([*c, *e], pa.int64()) for c, e in zip(cols, [[p.doc_id for p in rest], [p.start for p in rest], [len(p) for p in rest], empty, [p.total for p in rest], empty, empty, empty, empty, empty], strict=True)]
     return pa.record_batch([*arrays, pa.array([None] * len(rows) + [bytes(p.ids) for p in rest], pa.binary())], names=[*_COLUMNS, "ids"])
 
 
@@ -195,7 +206,7 @@ def _pack_texts(vocabulary: str, end_id: int):
                     yield _batch(packer.rows, [])
                     packer.rows = []
         rest = packer.remainder()
-        yield _batch(packer.rows, rest)
+        yield _batch(packer.rows + packer.short_groups(), rest)
 
     return run
 
@@ -208,16 +219,15 @@ def _pack_rest(batches):
         yield _batch(packer.rows, [])
         packer.rows = []
     packer.finish()
-    yield _batch(packer.rows, [])
+    yield _batch(packer.rows + packer.short_groups(), [])
 
 
 def pack_documents(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", end_id: int = 2, id_col: str = "doc_id", text_col: str = "text", workspace: Workspace | None = None) -> DataFrame:
     """Pieces of sequences of at most 4096 tokens; every id lies in one piece.
 
-    Columns as in ``PIECES``: window is the tier's length, step_group the group
-    of windows with STEP_TOKENS places together.  Windows are full but for the
-    last one of each task of the second packing, which is padded to 4096; the
-    reader gives such a task the remainders of many first tasks.
+    Columns as in ``PIECES``: window is the window's length, a power of two,
+    and all windows are full; step_group is the group of windows of one length
+    that have STEP_TOKENS places together (less in the last one of a length).
 
     Defined cases: a null or empty text is the end id alone; null ids stay
     null; repeated rows are packed each; other columns are ignored; an empty
@@ -225,7 +235,12 @@ def pack_documents(docs: DataFrame, *, vocabulary: str = "word_bpe_49k.json", en
     """
     ws = workspace or Workspace(docs.sparkSession, "packing")
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    first = ws.save(src.mapInArrow(_pack_texts(vocabulary, end_id), PIECES + ", ids binary"), "pieces")
-    rest = first.filter("ids IS NOT NULL")
-    second = rest.mapInArrow(_pack_rest, PIECES + ", ids binary")
-    return first.filter("ids IS NULL").unionByName(second).drop("ids")
+    first = ws.save(src.mapInArrow(_pack_texts(vocabulary, end_id), _PLACED + ", ids binary"), "pieces")
+    second = ws.save(first.filter("ids IS NOT NULL").mapInArrow(_pack_rest, _PLACED + ", ids binary"), "rest")
+    placed = first.filter("ids IS NULL").unionByName(second).drop("ids")
+    # The windows of short groups are numbered over all tasks: four or some more rows a task.
+    before = F.sum("place").over(W.partitionBy("window").orderBy("step_group").rowsBetween(W.unboundedPreceding, -1))
+    short = ws.save(placed.filter("length IS NULL").select("step_group", F.coalesce(before, F.lit(0)).alias("before")), "short")
+    anew = F.lit(1 << 62) + F.shiftleft(F.col("window"), 44) + F.expr(f"(before + place) DIV ({STEP_TOKENS} DIV window)")
+    pieces = placed.filter("length IS NOT NULL").join(short, "step_group", "left")
+    return pieces.withColumn("step_group", F.when(F.col("before").isNull(), F.col("step_group")).otherwise(anew)).select(*_COLUMNS[:-1])

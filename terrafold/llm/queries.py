@@ -103,7 +103,7 @@ FROM embeddings e LEFT JOIN links l ON l.a = e.vec_id LEFT JOIN reach r ON r.nod
     "op9_chat": """WITH t AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
 c AS (SELECT *, concat(conv_id, ':', turn) AS call_id, turn // 2 - row_number() OVER (PARTITION BY conv_id, turn % 2 ORDER BY turn) AS island FROM t WHERE role IN ('user', 'system')),
 d AS (SELECT *, row_number() OVER (PARTITION BY conv_id, turn % 2, island ORDER BY turn) - 1 AS depth FROM c),
-r AS (SELECT concat(conv_id, ':', turn - 1) AS call_id, any_value(conv_id) AS conv_id, count(*) AS n_results, min(turn) AS result_turn, arg_min(text, (turn, text)) AS content FROM t WHERE role = 'assistant' GROUP BY 1),
+r AS (SELECT concat(conv_id, ':', turn - 1) AS call_id, any_value(conv_id) AS conv_id, count(*) AS n_results, min(turn) AS result_turn, arg_min(text, (turn, text)) AS content FROM t WHERE role IS NULL OR role NOT IN ('user', 'system') GROUP BY 1),
 e AS (SELECT d.*, r.n_results, r.result_turn, r.content, concat_ws('; ', CASE WHEN text = '' OR (role = 'user' AND length(text) > 4000) THEN 'text: range' END, CASE WHEN turn < 0 OR (role = 'system' AND turn > 0) THEN 'turn: range' END) AS errors FROM d LEFT JOIN r ON r.call_id = d.call_id)
 SELECT conv_id, turn, call_id, 'call' AS kind, depth, coalesce(n_results, 0) AS n_results, result_turn, errors = '' AS valid, errors,
   concat('{"arguments":{"role":"', role, '","text":', to_json(text), ',"turn":', turn, '},"id":"', call_id, '","name":"', CASE role WHEN 'user' THEN 'reply' ELSE 'setup' END, '","result":', coalesce(CAST(to_json(content) AS VARCHAR), 'null'), '}') AS json FROM e

@@ -3,12 +3,14 @@
 The vocabulary's pre-tokeniser cuts a text into pieces that are encoded on
 their own, so the ids of a piece can be remembered.  The memo is used for
 texts of ASCII and Latin-1 letters, where the splitting pattern can be written
-out exactly; all other texts, and those with special strings, go through the
-library itself.  Either way the ids are those of the library.
+out exactly; all other texts, those with special strings, and all texts under a
+vocabulary file that splits differently go through the library itself.  Either
+way the ids are those of the library.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 from array import array
@@ -21,6 +23,11 @@ _L, _N, _S = "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\xff", "0-9\xb2\xb3\xb9\xbc-\xbe", "\
 _PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_L}]+|[{_N}]|[^{_S}{_L}{_N}]+")
 _OTHER = re.compile("[^\x00-\x7f\xa0-\xff]|<\\|")
 
+# The settings of a vocabulary file under which that pattern holds.
+_NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+_SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}
+_PRETOKENIZERS = [{"type": "Split", "pattern": _SPLIT, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
+
 #: Entries of each of the two generations of a worker's memo.
 MEMO_LIMIT = 350_000
 
@@ -51,6 +58,15 @@ class _Memo(dict):
         return ids
 
 
+def splits_as_written(path: str) -> bool:
+    """Whether the file splits texts by ``_PIECE`` and marks special strings by ``<|``."""
+    with open(path, encoding="utf-8") as f:
+        has = json.load(f)
+    cuts = has.get("normalizer") == {"type": "Sequence", "normalizers": _NORMALIZERS} and has.get("pre_tokenizer") == {"type": "Sequence", "pretokenizers": _PRETOKENIZERS}
+    plain = all(has.get(k) is None for k in ("truncation", "padding", "post_processor")) and not has["model"].get("dropout")
+    return cuts and plain and all(t["content"].startswith("<|") for t in has.get("added_tokens", []))
+
+
 class PieceTokenizer:
     """Ids of texts under a tokenizers .json file, as little-endian uint32 bytes."""
 
@@ -59,6 +75,7 @@ class PieceTokenizer:
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
+        self.by_pieces = splits_as_written(path)
         self.memo = _Memo(self.library.model, {})
 
     @staticmethod
@@ -75,7 +92,7 @@ class PieceTokenizer:
         """Ids of a whole text (null: none) without added special tokens."""
         if not text:
             return b""
-        if _OTHER.search(text):
+        if not self.by_pieces or _OTHER.search(text):
             return self._pack(self.library.encode(text, add_special_tokens=False).ids)
         return b"".join(self._ids_of(_PIECE.findall(text.lower())))
 
@@ -84,7 +101,7 @@ class PieceTokenizer:
 
     def encode_with_starts(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """(start offset in the text, id) of each token; later tokens of a piece may share its start."""
-        if _OTHER.search(text):
+        if not self.by_pieces or _OTHER.search(text):
             e = self.library.encode(text, add_special_tokens=False)
             return np.array([s for s, _ in e.offsets], dtype=np.int64), np.array(e.ids, dtype=np.int64)
         found = [(m.start(), m.group()) for m in _PIECE.finditer(text.lower())]

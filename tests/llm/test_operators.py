@@ -1,6 +1,7 @@
 """Each training-data operator against brute force on small tables."""
 
 import math
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from terrafold.llm import chat, embedding_forest, hmm, language, line_templates, media, mixing, ngram_join, packing, token_count
 from terrafold.llm.queries import QUERIES
-from tests.llm.conftest import words
+from tests.llm.conftest import WORD, words
 
 
 @pytest.fixture(scope="module")
@@ -65,6 +66,16 @@ def test_mixing_reruns_agree(docs):
     assert one == two
 
 
+def test_mixing_blocks_of_huge_sources(spark):
+    """Bounds of blocks where products of sizes would not fit into 64 bits."""
+    for size, blocks in ((10**15 + 12345, 10**12 + 7), (7, 7), (10, 4), (5 * 10**13, 48828125000)):
+        words = sorted({0, 1, size // 3, size // 2, size - 2, size - 1} & set(range(size)) if size < 100 else {0, 1, size // 3, size // 2, size - 2, size - 1})
+        d = spark.createDataFrame([(w, size, blocks) for w in words], "word long, source_size long, blocks long").withColumn("block", mixing.block_of("word"))
+        for r in d.select("*", mixing.block_start("block").alias("lo"), mixing.block_start("block + 1").alias("hi")).collect():
+            q, more = divmod(size, blocks)
+            assert 0 <= r["block"] < blocks and r["lo"] <= r["word"] < r["hi"] and r["lo"] == r["block"] * q + min(r["block"], more)
+
+
 def test_mixing_odd(odd, empty):
     rows = mixing.mix_sources(odd).collect()
     assert len(rows) == odd.count() and all(r["taken"] <= 3 * r["size"] for r in rows)
@@ -157,7 +168,17 @@ def test_packing(docs, library):
     rows = packing.pack_documents(docs).collect()
     want = {r["doc_id"]: [[*ids_of(library, r["text"]), 2]] for r in docs.collect()}
     assert {r["doc_id"] for r in rows} == set(want)
-    assert check_pieces(rows, want) <= 4096
+    assert check_pieces(rows, want) == 0
+    window = {r["sequence_id"]: (r["window"], r["step_group"]) for r in rows}
+    filled = Counter()
+    for r in rows:
+        filled[r["sequence_id"]] += r["length"]
+    assert all(window[k][0] == n for k, n in filled.items())
+    groups = Counter()
+    for w, g in window.values():
+        groups[w, g] += w
+    short = Counter(w for (w, _), n in groups.items() if n != packing.STEP_TOKENS)
+    assert max(groups.values()) == packing.STEP_TOKENS and all(n == 1 for n in short.values())
 
 
 def test_packing_odd(odd, empty, library):
@@ -186,7 +207,25 @@ def test_packer_memory_and_groups():
     filled = Counter()
     for r in packer.rows:
         filled[r[5]] += r[2]
-    assert sum(filled[s] != window[s][0] for s in filled) <= 1
+    assert all(filled[s] == window[s][0] for s in filled)
+    short = {r[8]: r[9] for r in packer.short_groups()}
+    of_group = Counter(g for _, g in window.values())
+    assert all(v == packing.STEP_TOKENS for g, v in sums.items() if g not in short) and all(of_group[g] == n for g, n in short.items())
+
+
+def test_other_vocabularies_go_through_the_library():
+    """The written-out splitting pattern serves the one vocabulary that has it."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    texts = ["Hello world, it's 2024!", "  two  blanks\n\nand lines ", "ünï <|endoftext|> x", "", "I'LL've 12345 --- ..."]
+    for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+        ours, theirs = token_count.tokenizer(name), Tokenizer.from_file(path(name))
+        assert ours.by_pieces == name.startswith("word")
+        for t in texts:
+            want = theirs.encode(t, add_special_tokens=False).ids
+            assert np.frombuffer(ours.encode(t), "<u4").tolist() == want and ours.count(t) == len(want)
+            assert ours.encode_with_starts(t)[1].tolist() == want
 
 
 def test_token_counts(docs, odd, empty, library):
@@ -244,13 +283,33 @@ def test_text_media(docs, odd):
 
 def test_decode_media_keeps_bad_rows(spark):
     rows = [(1, bytearray(media.encode_bmp(np.zeros((2, 2, 3), np.uint8)))), (2, bytearray(b"?")), (3, None)]
+    bad = [b"P2\n1 1\n255\n300", b"P2\n1 1\n255\n" + b"9" * 40, b"P2\n1 1\n0\n0", b"P5\n0 3\n255\n", b"P3\n1 1\n255\n1 2", b"P1\n1 1\n7", b"BM" + bytes(60), b"P2\n1 1\n255\n-1", b"P5\n9 9\n70000\n" + bytes(200)]
+    rows += [(10 + i, bytearray(b)) for i, b in enumerate(bad)] + [(2, bytearray(b"?")), (None, bytearray(b"P2 1 1 300 299"))]
     got = {r["id"]: r for r in media.decode_media(spark.createDataFrame(rows, "k int, img binary"), id_col="k", image_col="img").collect()}
     assert (got[1]["height"], got[1]["error"]) == (2, None) and got[2]["error"] and got[3]["error"]
+    assert all(got[10 + i]["error"] and got[10 + i]["height"] is None for i in range(len(bad))) and got[None]["height"] == 1
+    none = spark.createDataFrame([], "k int, img binary, height int")
+    assert media.decode_media(none, id_col="k", image_col="img").collect() == []
 
 
 # -- 5 language ---------------------------------------------------------------------
 
 
+def test_letters_by_category():
+    assert not any(map(language.has_letter, [None, "", "12 34 !!", "½ ² Ⅷ ৪ _"])) and all(map(language.has_letter, ["½ a", "你", "ª", "ʰ"]))
+
+
+def test_language_machines_separate(spark):
+    """Many languages under the bound of the whole sample; families of one language and of several."""
+    rng = np.random.default_rng(3)
+    words = {k: ["".join(rng.choice(list("abcdefghijklmnop"), 5)) for _ in range(12)] for k in ("en", "de", "fr", "es", "it", "xx", "yy")}
+    rows = [(i, " ".join(rng.choice(words[k], 30)), k) for i, k in enumerate(list(words) * 40)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.train_language_model(frame.filter("doc_id % 2 = 0"), sample=70)
+    got = language.predict_language(frame.filter("doc_id % 2 = 1"), model).collect()
+    assert model.languages == sorted(words) and np.mean([r["lang"] == r["lang_pred"] for r in got]) > 0.97
+
+
 def test_language(docs, odd, empty):
     train = docs.filter(~language.held_out("doc_id", 3, 1))
     model = language.train_language_model(train)
@@ -334,6 +393,88 @@ def test_line_templates(spark):
     assert all(got[i]["text"] == t for i, t in copies + alone)
 
 
+def brute_template_lines(texts, least=3):
+    """The documented rule on unrelated texts, where each text that holds a line counts."""
+    holders, lines = {}, []
+    for i, text in enumerate(texts):
+        for j, line in enumerate((text or "").split("\n")):
+            tokens = tuple("<*>" if re.search("[0-9]", w) else w for w in WORD.findall(line))
+            if tokens:
+                lines.append((i, j, tokens))
+                holders.setdefault(tokens, set()).add(text)
+    gone = {(i, j) for i, j, t in lines if len(holders[t]) >= least}
+    rest = [x for x in lines if len(holders[x[2]]) < least and len(x[2]) > line_templates.DEPTH]
+    leaf_of = lambda t: (len(t), t[: line_templates.DEPTH])
+    leaves, count = {}, Counter()
+    for _, _, t in rest:
+        leaves.setdefault(leaf_of(t), []).append(t)
+        count.update((leaf_of(t), i, w) for i, w in enumerate(t))
+    found = {}
+    for i, j, t in rest:
+        constant = tuple(w if count[leaf_of(t), k, w] >= least else None for k, w in enumerate(t))
+        if len(set(leaves[leaf_of(t)])) >= 2 and sum(w is not None for w in constant) >= line_templates.SIMILARITY * len(t):
+            found.setdefault((leaf_of(t), constant), []).append((i, j))
+    for places in found.values():
+        if len({texts[i] for i, _ in places}) >= least:
+            gone.update(places)
+    out = []
+    for i, text in enumerate(texts):
+        kept = [x for j, x in enumerate((text or "").split("\n")) if (i, j) not in gone]
+        out.append(text if text is None or not any(WORD.search(x) for x in kept) else "\n".join(kept))
+    return out
+
+
+def test_line_templates_equal_the_rule(spark, monkeypatch):
+    """Many templates of one leaf, with CRLF, tabs and numbers, in unrelated texts; parsed in pieces of any size."""
+    rng = np.random.default_rng(21)
+    word = lambda: "".join(chr(97 + c) for c in rng.integers(0, 26, 7))
+    own = lambda: " ".join(word() for _ in range(25))
+    forms = [f"on this day the {word()} {word()} was {{}} at the {word()} gate" for _ in range(9)]
+    forms += ["in leaf of own\twords {} and {} are variable here you see", "page 12{} of the book"]
+    texts = []
+    for _ in range(60):
+        some = [forms[k].format(word(), word()) for k in rng.choice(len(forms), 3, replace=False)]
+        some += [] if rng.integers(0, 3) else ["read the terms of use", f"  turn to page {rng.integers(1, 99)}  "]
+        body = [own() for _ in range(4)] + some + ["", "\t"]
+        rng.shuffle(body)
+        texts.append(("\r\n" if rng.integers(0, 2) else "\n").join(body))
+    texts += [None, "", " \n\t\n", "read the terms of use", texts[0]]
+    want = Counter(brute_template_lines(texts))
+    frame = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = Counter(r["text"] for r in line_templates.drop_template_lines(frame).collect())
+    assert got == want and sum(n for t, n in got.items() if t in texts) < 10
+    whole = [x.tolist() for x in line_templates._lines([(t or "").encode() for t in texts])]
+    for piece in (1, 40, 700):
+        monkeypatch.setattr(line_templates, "PIECE", piece)
+        assert [x.tolist() for x in line_templates._lines([(t or "").encode() for t in texts])] == whole
+
+
+def test_line_templates_and_copies(spark):
+    """A notice in unrelated texts goes, also where one of them has many near copies; the copies keep their own lines."""
+    rng = np.random.default_rng(22)
+    own = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 26, 7)) for _ in range(n))
+    notice, base = own(12), [own(15) for _ in range(12)]
+    texts = ["\n".join([own(20), own(20), notice, own(20)]) for _ in range(40)]
+    for _ in range(300):
+        copy = list(base)
+        copy[rng.integers(0, 12)] = own(15)
+        texts.append("\n".join([*copy, notice]))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in line_templates.drop_template_lines(frame).collect()}
+    assert all(notice not in t for t in got.values())
+    assert all(got[i] == "\n".join(x for x in t.split("\n") if x != notice) for i, t in enumerate(texts))
+
+
+def test_line_templates_in_a_text_of_many_lines(spark):
+    """Time grows with the lines of a text, not with their square."""
+    same = [f"common line number {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} of all" for i in range(15000)]
+    texts = ["\n".join(x for y in zip(same, [f"own{k}x{chr(97 + i % 26)} word {'abcdefghij'[i % 10]}{k}" for i in range(15000)]) for x in y) for k in range(4)]
+    texts = [t + "\n" + " ".join(f"only{k}{chr(97 + i % 26)}" for i in range(50)) for k, t in enumerate(texts)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = line_templates.drop_template_lines(frame).collect()
+    assert all(r["n_lines"] == 30001 for r in rows)
+
+
 def test_line_templates_odd(odd, empty):
     d = line_templates.drop_template_lines(odd)
     assert d.columns == [c for c in odd.columns if c != "n_lines"] + ["n_lines", "n_dropped"]
@@ -358,6 +499,25 @@ def test_tool_calls(spark):
     assert got["q"]["kind"] == "orphan" and got[None]["errors"] == "no id"
 
 
+def test_tool_calls_by_conversation(spark):
+    """Identifiers that repeat in other conversations or in one, nulls, odd fields, and clashing columns."""
+    calls = [(1, 0, "call_1", None, "f", '{"a":1}'), (2, 0, "call_1", None, "f", '{"a":2}'), (2, 4, "call_1", None, "f", '{"a":2}'), (2, 4, "call_1", None, "f", '{"a":2}'), (None, 1, "call_1", None, "f", None), (3, 1, None, None, "f", "{}"), (3, 1, None, None, "f", "{}"), (4, 1, "x", "y", "g", '{"it\'s":"v"}'), (4, 2, "y", "x", "g", "{}"), (5, 0, "long", None, "f", '{"a":"' + "z" * 300000 + '"}')]
+    results = [(1, 1, "call_1", "one"), (2, 1, "call_1", "two"), (2, 5, "call_1", "more"), (9, 1, "call_1", "lost"), (None, None, "call_1", None), (3, 3, None, "nothing")]
+    schemas = spark.createDataFrame([("f", "a", "integer", True, 0.0, 9.0), ("g", "it's", "string", True, 1.0, 2.0)], chat.SCHEMA_COLUMNS)
+    c = spark.createDataFrame(calls, "conv_id long, turn long, call_id string, parent_id string, name string, arguments string").selectExpr("*", "turn AS key", "1 AS row", "name AS depth", "1 AS v")
+    r = spark.createDataFrame(results, "conv_id long, turn long, call_id string, content string").selectExpr("*", "1 AS key", "content AS r")
+    got = Counter((x["conv_id"], x["turn"], x["call_id"], x["kind"], x["depth"], x["n_results"], x["result_turn"], x["errors"]) for x in chat.link_tool_calls(c, r, schemas).collect())
+    assert got == Counter([
+        (1, 0, "call_1", "call", 0, 1, 1, ""), (2, 0, "call_1", "call", 0, 2, 1, ""), (2, 4, "call_1", "call", 0, 2, 1, ""), (None, 1, "call_1", "call", 0, 1, None, "not json"), (3, 1, None, "call", 0, 0, None, "no id"),
+        (4, 1, "x", "call", -1, 0, None, ""), (4, 2, "y", "call", -1, 0, None, "it's: missing"), (5, 0, "long", "call", 0, 0, None, "a: kind"), (9, 1, "call_1", "orphan", 0, 1, 1, "no call"),
+    ])
+    none = chat.link_tool_calls(c.limit(0), r.limit(0), schemas.limit(0))
+    assert none.collect() == [] and chat.link_tool_calls(c.limit(0), r, schemas).count() == 4
+    turns = spark.createDataFrame([(None, 5, "user", "a"), (5, None, "user", "b"), (7, 1, "user", None), (7, 2, None, "x"), (7, 4, "tool", "y")], "conv_id long, turn long, role string, text string")
+    rows = chat.link_tool_calls(*chat.conversation_calls(turns), schemas).collect()
+    assert Counter((x["conv_id"], x["turn"], x["kind"], x["n_results"]) for x in rows) == Counter([(None, 5, "call", 0), (5, None, "call", 0), (7, 1, "call", 1), (7, 4, "orphan", 1)])
+
+
 def test_long_chains(spark):
     calls = spark.range(300).selectExpr("1L AS conv_id", "id AS turn", "cast(id AS string) AS call_id", "cast(id - 1 AS string) AS parent_id", "'t' AS name", "'{}' AS arguments")
     ws = chat.Workspace(spark, "t")
