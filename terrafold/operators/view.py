@@ -25,10 +25,33 @@ def viewport_box(views: DataFrame) -> DataFrame:
     return views.select("view_id", S.tile_x_to_lon(x - 1.5, z).alias("west"), S.tile_y_to_lat(y + 1.5, z).alias("south"), S.tile_x_to_lon(x + 1.5, z).alias("east"), S.tile_y_to_lat(y - 1.5, z).alias("north"))
 
 
+def drawn(features: DataFrame, low: int = 0, high: int = 15) -> DataFrame:
+    """Tiled features that a view shows: up to their zoom and inside the priority range."""
+    return features.filter((F.col("min_zoom") <= F.col("z")) & F.col("priority").between(low, high))
+
+
 def viewport_features(tiles: DataFrame, features: DataFrame, low: int = 0, high: int = 15) -> DataFrame:
-    """Features of the tiles in view, up to their zoom and inside the priority range."""
-    d = tiles.join(features, ["z", "x", "y"]).filter(F.col("min_zoom") <= F.col("z"))
-    return d.filter(F.col("priority").between(low, high))
+    """Features of the tiles in view, one row for each view and feature."""
+    return tiles.join(drawn(features, low, high), ["z", "x", "y"])
+
+
+def viewport_summary(tiles: DataFrame, features: DataFrame, id_col: str, low: int = 0, high: int = 15) -> DataFrame:
+    """``view_id, features, tiles_loaded, ids``: counts and the sum of ids a view.
+
+    Features are counted by tile before tiles meet views, so the join has one
+    row for each view and tile, however many features a tile holds.
+    """
+    by_tile = drawn(features, low, high).groupBy("z", "x", "y").agg(F.count("*").alias("features"), F.sum(id_col).alias("ids"))
+    met = tiles.join(by_tile, ["z", "x", "y"]).groupBy("view_id")
+    return met.agg(F.sum("features").alias("features"), F.count("*").alias("tiles_loaded"), F.sum("ids").alias("ids"))
+
+
+def pass_counts(tiles: DataFrame, features: DataFrame, low: int = 0, high: int = 15) -> DataFrame:
+    """``pass, features``: how often all views draw a feature in each pass."""
+    by_tile = drawn(features, low, high).select("z", "x", "y", F.explode(render_pass(F.col("geom_type"), F.col("casing"))).alias("pass"))
+    by_tile = by_tile.groupBy("z", "x", "y", "pass").agg(F.count("*").alias("n"))
+    views = tiles.groupBy("z", "x", "y").agg(F.count("*").alias("views"))
+    return by_tile.join(views, ["z", "x", "y"]).groupBy("pass").agg(F.sum(F.col("n") * F.col("views")).alias("features"))
 
 
 def render_pass(geom_type: Column, casing: Column) -> Column:

@@ -148,8 +148,7 @@ _ECELL = "ecell AS (SELECT *, CAST(floor(src_lat * 10000.0::DOUBLE / 500) AS BIG
 
 @query(f"{_GRAPH_R}, {_CELLS}, {_ECELL} SELECT c.request_id, count(*) AS edges, CAST(sum(cost) AS BIGINT) AS cost FROM cells c JOIN ecell e ON e.profile = c.profile AND e.lat_e4 = c.lat_e4 AND e.lon_e4 = c.lon_e4 GROUP BY 1")
 def route_subgraph(spark, sf_dir):
-    d = route.request_edges(_requests(spark, sf_dir), _celled_edges(spark, sf_dir))
-    return d.groupBy("request_id").agg(F.count("*").alias("edges"), F.sum("cost").alias("cost"))
+    return route.subgraph_totals(_requests(spark, sf_dir), _celled_edges(spark, sf_dir))
 
 
 _NEAR = """near AS (SELECT request_id, arg_min(node_id, (d, node_id)) AS node_id, min(d) AS dist_m FROM (SELECT r.request_id, n.node_id, round(sqrt(pow((n.lon - r.lon) * 111319.0::DOUBLE * cos(radians((r.lat + n.lat) / 2)), 2) + pow((n.lat - r.lat) * 111319.0::DOUBLE, 2)), 6) AS d
@@ -172,7 +171,7 @@ def _placed(spark, sf_dir):
 
 def _paths(spark, sf_dir):
     r = _placed(spark, sf_dir)
-    return route.shortest_paths(r, route.request_edges(r, _celled_edges(spark, sf_dir)))
+    return route.shortest_paths(r, _celled_edges(spark, sf_dir))
 
 
 @query(

@@ -81,13 +81,13 @@ def tile_union_distinct(spark, sf_dir):
     with_sql("fx_ways", "fx_way_nodes", "fx_nodes", "fx_node_tags")
     + _BOXES
     + f""" SELECT s.node_id, s.x, s.y FROM (SELECT n.node_id, CAST(floor({sql_x('lon', '13')}) AS BIGINT) AS x, CAST(floor({sql_y('lat', '13')}) AS BIGINT) AS y FROM fx_nodes n JOIN fx_node_tags t ON t.node_id = n.node_id WHERE t."natural" IS NOT NULL) s
-    WHERE EXISTS (SELECT 1 FROM {_tiles_sql('CAST(13 AS BIGINT)', 'short')} b WHERE b.x = s.x AND b.y = s.y)""".replace(" SELECT s.node_id", ", short AS (SELECT * FROM boxes WHERE way_id % 50 = 0) SELECT s.node_id", 1)
+    WHERE EXISTS (SELECT 1 FROM {_tiles_sql('CAST(13 AS BIGINT)')} b WHERE b.x = s.x AND b.y = s.y)"""
 )
 def tiles_semi_points(spark, sf_dir):
     n = table(spark, sf_dir, "fx_nodes").join(table(spark, sf_dir, "fx_node_tags").filter("`natural` IS NOT NULL").select("node_id"), "node_id", "left_semi")
     n = n.select("node_id", F.floor(S.lon_to_x("lon", 13)).cast("long").alias("x"), F.floor(S.lat_to_y("lat", 13)).cast("long").alias("y"))
-    some = way_boxes(spark, sf_dir).filter("way_id % 50 = 0").withColumn("z", F.lit(13).cast("long"))
-    return n.join(tiling.explode_tiles(some).select("x", "y").distinct(), ["x", "y"], "left_semi").select("node_id", "x", "y")
+    boxes = way_boxes(spark, sf_dir).withColumn("z", F.lit(13).cast("long"))
+    return n.join(tiling.explode_tiles(boxes).select("x", "y").distinct(), ["x", "y"], "left_semi").select("node_id", "x", "y")
 
 
 # -- per-zoom looks ------------------------------------------------------------

@@ -53,20 +53,18 @@ _VFEATURES = f"""vf AS (SELECT v.view_id, v.z, v.x, v.y, f.* FROM vtiles v JOIN
 _VIEW = with_sql("fx_viewports", "fx_nodes") + f", {_VTILES}, {_POINTS}, {_VFEATURES}"
 
 
-def _in_view(spark, sf_dir):
-    tiles_in_view = view.viewport_tiles(table(spark, sf_dir, "fx_viewports")).withColumn("z", F.col("z").cast("long"))
-    return view.viewport_features(tiles_in_view, _tiled(spark, sf_dir), 1, 14)
+def _views(spark, sf_dir):
+    return view.viewport_tiles(table(spark, sf_dir, "fx_viewports")).withColumn("z", F.col("z").cast("long"))
 
 
-@query(_VIEW + " SELECT view_id, count(*) AS features, count(DISTINCT (x, y)) AS tiles_loaded, CAST(sum(node_id) AS BIGINT) AS ids FROM vf GROUP BY view_id")
+@query(_VIEW + " SELECT view_id, CAST(count(*) AS BIGINT) AS features, count(DISTINCT (x, y)) AS tiles_loaded, CAST(sum(node_id) AS BIGINT) AS ids FROM vf GROUP BY view_id")
 def viewport_features(spark, sf_dir):
-    return _in_view(spark, sf_dir).groupBy("view_id").agg(F.count("*").alias("features"), F.countDistinct("x", "y").alias("tiles_loaded"), F.sum("node_id").alias("ids"))
+    return view.viewport_summary(_views(spark, sf_dir), _tiled(spark, sf_dir), "node_id", 1, 14)
 
 
 @query(_VIEW + " SELECT pass, count(*) AS features FROM (SELECT CAST(unnest(CASE WHEN geom_type = 4 THEN [4] WHEN geom_type = 2 AND casing THEN [2, 3] ELSE [1] END) AS BIGINT) AS pass FROM vf) GROUP BY pass")
 def render_pass(spark, sf_dir):
-    d = _in_view(spark, sf_dir).select(F.explode(view.render_pass(F.col("geom_type"), F.col("casing"))).alias("pass"))
-    return longs(d.groupBy("pass").agg(F.count("*").alias("features")))
+    return longs(view.pass_counts(_views(spark, sf_dir), _tiled(spark, sf_dir), 1, 14))
 
 
 _HEX_PICK = "CASE pick " + " ".join(f"WHEN {i} THEN '{h}'" for i, h in enumerate(_HEX565)) + " END"
