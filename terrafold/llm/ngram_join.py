@@ -35,6 +35,8 @@ SKETCH_BITS = 18
 HUB_PAIRS = 256
 #: Hubs that a group is held against in the first round.
 HUBS = 3
+#: Earlier shingles that a posting of the exhaustive round carries.
+BEFORE = 4
 
 
 def _bucket_counts(width: int):
@@ -96,6 +98,23 @@ def _prefixes(width: int, percent: int, levels):
     return run
 
 
+def _postings(bits):
+    """A row for each prefix shingle that may be wanted, with its place in the prefix."""
+
+    def run(batches):
+        for batch in batches:
+            prefix = batch.column("prefix")
+            tok = prefix.flatten().to_numpy()
+            width = np.diff(prefix.offsets.to_numpy())
+            first = np.cumsum(width) - width
+            keep = np.flatnonzero(bitmap_hit(bits.value, tok))
+            row = np.repeat(np.arange(len(width)), width)[keep]
+            at = pa.array(row)
+            yield pa.record_batch([batch.column("node").take(at), batch.column("n").take(at), pa.array((keep - first[row]).astype(np.int32)), pa.array(tok[keep])], names=["node", "n", "pos", "tok"])
+
+    return run
+
+
 def _passing(bits):
     """Rows whose t1 may be wanted; a wrong pass costs a row, no row is lost."""
 
@@ -167,11 +186,19 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     many = bool(found["crowd"])
     crowd = nodes.filter("members > 1").select("lead", "cid")
 
-    # 4. Postings of the groups' prefixes, without shingles of a single group,
-    # each with the group in which the shingle comes earliest: its hub.
-    post = nodes.filter("cid = lead").select(F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), (F.col("members") > 1).alias("several"), F.posexplode("prefix").alias("pos", "tok"))
-    per = post.groupBy("tok").agg(F.count("*").alias("df"), F.bool_or("several").alias("any"), F.min_by(F.struct("node", "n"), F.struct(F.col("pos") / F.col("n"), "node")).alias("hub")).filter("df > 1 OR any")
-    items = ws.save(post.drop("several").join(per.drop("any", "df"), "tok"), "items")
+    # 4. Postings of the groups' prefixes.  A bitmap of the shingles that more
+    # than one group has, or a group of several members, keeps the others out
+    # (a wrong pass costs a row); each shingle's hub is the group that has it earliest.
+    led = nodes.filter("cid = lead").select(F.col("cid").alias("node"), F.col("n").cast("int").alias("n"), (F.col("members") > 1).alias("several"), "prefix")
+    met = led.select("several", F.explode("prefix").alias("tok")).groupBy("tok").agg(F.count("*").alias("df"), F.max("several").alias("any")).filter("df > 1 OR any")
+    met, seen = ws.save_counted(met.select("tok"), "met", n=F.count(F.lit(1)))
+    with tidy(spark):
+        bits = spark.sparkContext.broadcast(bitmap(met, "tok", seen["n"]))
+    post = led.select("node", "n", "prefix").mapInArrow(_postings(bits), "node long, n int, pos int, tok long")
+    post = ws.save(post, "postings")
+    bits.destroy()
+    per = post.groupBy("tok").agg(F.min_by(F.struct("node", "n"), F.struct(F.col("pos") / F.col("n"), "node")).alias("hub"))
+    items = post.join(per, "tok")
 
     # 5. Verification on whole texts, fetched for the classes of the pairs only.
     # A bitmap of the wanted keys keeps most other texts out of the shuffle; a
@@ -214,21 +241,27 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     # 7. A member apart from its leader has the leader's postings as a node of
     # its own: the leader's component says nothing about whom it met.
     member = crowd
-    items = items.select("tok", "node", "n", "pos")
+    items = post
     if many:
         astray = labelled(labelled(crowd.filter("cid <> lead"), comps, "cid", "comp"), comps, "lead", "home").filter("comp <> home")
         astray = ws.save(astray.select("lead", "cid"), "astray")
         member = crowd.join(astray.select("cid"), "cid", "left_anti")
         items = items.unionByName(items.join(astray, F.col("node") == F.col("lead")).select("tok", F.col("cid").alias("node"), "n", "pos"))
 
-    # 8. Exhaustive round over pairs of different components.
-    items = ws.save(labelled(items, comps, "node", "comp"), "labelled")
+    # 8. Exhaustive round over pairs of different components.  Each posting has
+    # the shingles before it: a pair that shares one of them has met there.
+    line = W.partitionBy("node").orderBy("pos")
+    before = [f"before_{k}" for k in range(BEFORE)]
+    items = labelled(items, comps, "node", "comp").select("*", *[F.lag("tok", k + 1).over(line).alias(b) for k, b in enumerate(before)])
+    items = ws.save(items, "labelled")
     per = items.groupBy("tok", "comp").count().groupBy("tok").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
     mixed = items.join(per.select("tok", "main"), "tok").withColumn("minor", F.col("comp") != F.col("main")).drop("main")
     x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
     least = F.expr(f"(({percent} * (x.n + y.n) + {99 + percent}) DIV {100 + percent})")
     meets = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node")))
     meets = meets & (F.col("x.pos") <= F.col("x.n") - least) & (F.col("y.pos") <= F.col("y.n") - least)
+    for b in before:
+        meets = meets & ~F.coalesce(F.col(f"x.{b}").isin(*[F.col(f"y.{c}") for c in before]), F.lit(False))
     shared = x.join(y, meets).select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b"), F.greatest("x.n", "y.n").alias("big"), (F.col("x.n") + F.col("y.n")).alias("total")).distinct()
     for side in ("a", "b"):
         shared = shared.join(nodes.select(F.col("cid").alias(side), F.col("prefix").alias(f"prefix_{side}")), side)
@@ -258,6 +291,6 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     tagged = labelled(classes.select("cid", "least_id", *key), comps, "cid", "component")
     least = tagged.groupBy("component").agg(F.min("least_id").alias("component_id"))
     tagged = ws.save(tagged.join(least, "component").select(*key, "component_id"), "tagged")
-    ws.drop(nodes, items, pairs, classes, comps)
+    ws.drop(nodes, post, items, pairs, classes, comps)
     out = sets.select("doc_id", *key).join(tagged, key, "left")
     return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
