@@ -15,6 +15,7 @@ its other lines (long lines weigh more), which near copies share.
 Lines are parsed in numpy, in pieces of about 1 MB.  The first pass counts
 leaves; the second gives hashes of the lines in leaves that can matter, which a
 bitmap of bounded size tells (where it is too full, more lines take part).
+Another one keeps texts that lose no line out of the last shuffle.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, bytes_powers, sp
 DEPTH = 4
 #: Different documents that make a template recurring.
 MIN_DOCS = 3
-#: Different documents among all that hold the template: less means copies of documents.
+#: Different least hashes among all documents that hold the template: less means copies of documents.
 MIN_SHARE = 0.3
 #: The same, where documents count that share none of ``SKETCHES`` hashes with another holder.
 MIN_ALONE, SKETCHES = 0.03, 4
@@ -168,10 +169,10 @@ def _recurring(held: DataFrame, key: list[str], min_docs: int) -> DataFrame:
     often = held.groupBy(*key).count().filter(F.col("count") >= min_docs).select(*key)
     one = held.join(often, key, "left_semi").groupBy(*key, "t1").agg(*[F.min(s).alias(s) for s in _SKETCHES])
     met = one.select(*key, "t1", F.posexplode(F.array(*_SKETCHES)).alias("k", "v")).groupBy(*key, "k", "v").agg(F.count("*").alias("holders"), F.min("t1").alias("t1"))
-    docs = met.groupBy(*key).agg(F.sum(F.when(F.col("k") == 0, F.col("holders"))).alias("docs"), F.count_if(F.col("k") == 0).alias("d0"), F.count_if(F.col("k") == 1).alias("d1"))
+    docs = met.groupBy(*key).agg(F.sum(F.when(F.col("k") == 0, F.col("holders"))).alias("docs"), *[F.count_if(F.col("k") == k).alias(f"d{k}") for k in range(SKETCHES)])
     alone = met.filter("holders = 1").groupBy(*key, "t1").count().filter(F.col("count") == SKETCHES).groupBy(*key).agg(F.count("*").alias("alone"))
     seen = docs.filter(F.col("docs") >= min_docs).join(alone, key, "left").withColumn("alone", F.coalesce("alone", F.lit(0)))
-    different = F.greatest("d0", "d1")
+    different = F.greatest(*[f"d{k}" for k in range(SKETCHES)])
     few = (different >= min_docs) & (different >= MIN_SHARE * F.col("docs"))
     return seen.filter(few | ((F.col("alone") >= min_docs) & (F.col("alone") >= MIN_ALONE * F.col("docs")))).select(*key)
 
@@ -190,8 +191,19 @@ def _masks(batches):
         yield pa.record_batch([batch.column("t1"), batch.column("t2"), pa.ListArray.from_arrays(pa.array(offsets), flat), pa.array([int(m.sum()) for m in masks], pa.int64())], names=["t1", "t2", "gone", "n_gone"])
 
 
-def recurring_lines(docs: DataFrame, ws: Workspace, *, text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
-    """``t1, t2, gone, n_gone``: of each text (by two hashes) which lines recur, by position."""
+def _texts(wanted, hit: bool):
+    """Rows whose text may lose a line, or the others."""
+
+    def run(batches):
+        for batch in batches:
+            keep = bitmap_hit(wanted.value, batch.column("__terrafold_t1").to_numpy())
+            yield batch.filter(pa.array(keep if hit else ~keep))
+
+    return run
+
+
+def recurring_lines(docs: DataFrame, ws: Workspace, *, text_col: str = "text", min_docs: int = MIN_DOCS) -> tuple[DataFrame, dict]:
+    """``t1, t2, gone, n_gone``: of each text (by two hashes) which lines recur, by position; and the number of rows."""
     spark = ws.spark
     src = docs.select(F.col(text_col).cast("string").alias("text")).filter("text IS NOT NULL")
     # Leaves with fewer lines than documents asked for have no recurring template.
@@ -219,7 +231,7 @@ def recurring_lines(docs: DataFrame, ws: Workspace, *, text_col: str = "text", m
     found = _recurring(held.select("leaf", "template", "t1", *_SKETCHES), ["leaf", "template"], min_docs)
     dropped = dropped.unionByName(held.join(found, ["leaf", "template"], "left_semi").select("t1", "t2", "pos"))
     per_text = dropped.groupBy("t1", "t2").agg(F.collect_set("pos").alias("pos"))
-    gone = ws.save(per_text.mapInArrow(_masks, "t1 long, t2 long, gone array<boolean>, n_gone long"), "gone")
+    gone = ws.save_counted(per_text.mapInArrow(_masks, "t1 long, t2 long, gone array<boolean>, n_gone long"), "gone", n=F.count(F.lit(1)))
     ws.drop(busy, shared, exact, words, form, held)
     return gone
 
@@ -238,17 +250,26 @@ def drop_template_lines(docs: DataFrame, *, text_col: str = "text", min_docs: in
     repeated rows and repeated lines of one text do not count; row count,
     order of lines and all other columns are kept.
     """
-    ws = workspace or Workspace(docs.sparkSession, "lines")
-    gone = recurring_lines(docs, ws, text_col=text_col, min_docs=min_docs)
+    spark = docs.sparkSession
+    ws = workspace or Workspace(spark, "lines")
+    gone, seen = recurring_lines(docs, ws, text_col=text_col, min_docs=min_docs)
+    with tidy(spark):
+        sent = spark.sparkContext.broadcast(bitmap(gone, "t1", seen["n"]))
     names = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    hashes = ["__terrafold_t1", "__terrafold_t2"]
+    text = F.col(f"`{text_col}`").cast("string")
+    keyed = docs.select(*[F.col(f"`{c}`") for c in names], F.xxhash64(text).alias(hashes[0]), F.xxhash64(F.lit(17), text).alias(hashes[1]))
+    touched, rest = (keyed.mapInArrow(_texts(sent, hit), keyed.schema) for hit in (True, False))
+    d = touched.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col(hashes[0]).alias("t1"), F.col(hashes[1]).alias("t2")).join(gone, ["t1", "t2"], "left")
     text = F.col("row").getField(text_col).cast("string")
-    d = docs.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
-    d = d.withColumn("t1", F.xxhash64(text)).withColumn("t2", F.xxhash64(F.lit(17), text)).join(gone, ["t1", "t2"], "left")
     d = d.withColumn("lines", F.split(text, "\n"))
     kept = F.filter("lines", lambda x, i: ~F.coalesce(F.get("gone", i), F.lit(False)))
     d = d.withColumn("new", F.when(F.col("gone").isNotNull(), F.array_join(kept, "\n")))
     whole = ~F.coalesce(F.col("new").rlike(INK), F.lit(False))
-    n_lines = F.when(text.isNull(), 0).otherwise(F.size("lines")).cast("long").alias("n_lines")
     n_dropped = F.when(whole, 0).otherwise(F.col("n_gone")).cast("long").alias("n_dropped")
-    new = F.when(whole, text).otherwise(F.col("new")).alias(text_col)
-    return d.select(*[(new if c == text_col else F.col("row").getField(c).alias(c)) for c in names], n_lines, n_dropped)
+    new = F.when(whole, text).otherwise(F.col("new"))
+    d = d.select(*[(new.cast(docs.schema[c].dataType).alias(c) if c == text_col else F.col("row").getField(c).alias(c)) for c in names], n_dropped)
+    d = d.unionByName(rest.drop(*hashes).withColumn("n_dropped", F.lit(0).cast("long")))
+    # Dropped lines are counted with those that are left.
+    left = F.coalesce(F.regexp_count(F.col(f"`{text_col}`").cast("string"), F.lit("\n")) + 1, F.lit(0))
+    return d.select(*[F.col(f"`{c}`") for c in names], (left + F.col("n_dropped")).cast("long").alias("n_lines"), "n_dropped")
