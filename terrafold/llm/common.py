@@ -124,6 +124,20 @@ def bytes_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
+def piece_words(data) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``(bytes, starts, ends, hashes)`` of the words of UTF-8 bytes, A-Z folded in the 64-bit hashes."""
+    b = np.frombuffer(data, dtype=np.uint8)
+    inside = np.zeros(len(b) + 2, dtype=np.int8)
+    inside[1:-1] = _IS_WORD[b]
+    step = np.diff(inside)
+    starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    with np.errstate(over="ignore"):
+        up, down = bytes_powers(len(b) + 1)
+        total = np.zeros(len(b) + 1, dtype=np.uint64)
+        np.cumsum(_BYTE_VALUE[b] * up[: len(b)], out=total[1:])
+        return b, starts, ends, splitmix((total[ends] - total[starts]) * down[starts])
+
+
 def word_hashes(data: bytes, piece: int = 1 << 18) -> np.ndarray:
     """64-bit hashes of the words of UTF-8 text, A-Z folded, in text order.
 
@@ -138,18 +152,8 @@ def word_hashes(data: bytes, piece: int = 1 << 18) -> np.ndarray:
             while end < len(raw) and _IS_WORD[raw[end]]:  # cut at white space
                 gap = np.flatnonzero(~_IS_WORD[raw[end : end + 4096]])
                 end = end + int(gap[0]) if len(gap) else min(len(raw), end + 4096)
-            b = raw[at:end]
+            parts.append(piece_words(raw[at:end])[3])
             at = end
-            inside = np.zeros(len(b) + 2, dtype=np.int8)
-            inside[1:-1] = _IS_WORD[b]
-            step = np.diff(inside)
-            starts, ends = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-            if not len(starts):
-                continue
-            up, down = bytes_powers(len(b) + 1)
-            total = np.zeros(len(b) + 1, dtype=np.uint64)
-            np.cumsum(_BYTE_VALUE[b] * up[: len(b)], out=total[1:])
-            parts.append(splitmix((total[ends] - total[starts]) * down[starts]))
     return np.concatenate(parts) if parts else np.zeros(0, np.uint64)
 
 

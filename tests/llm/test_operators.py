@@ -128,6 +128,92 @@ def test_baum_welch_raises_the_likelihood():
         model = hmm.Model(starts / starts.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
+def test_stretches_of_a_long_text(monkeypatch):
+    """A text worked on in stretches has the counts of the whole text."""
+    rng = np.random.default_rng(5)
+    model = hmm.Model.initial(np.full(9, 1 / 9), 3)
+    texts = [rng.integers(0, 9, n).astype(np.int32) for n in (1, 7, 103, 40, 50, 64)]
+    want, score = model.expected(texts, 9), model.scores(texts)
+    for together, stretch in ((30, 10), (45, 8), (1, 1), (5, 64)):
+        monkeypatch.setattr(hmm, "TOGETHER", together)
+        monkeypatch.setattr(hmm, "STRETCH", stretch)
+        assert all(np.allclose(a, b) for a, b in zip(model.expected(texts, 9), want, strict=True)) and np.allclose(model.scores(texts), score)
+
+
+def test_words_and_classes():
+    texts = [b"", None, b"One two  THREE\x0b4,", "ü übx 你好 a\xa0b x".encode(), b" \n ", b"a" * 300 + b" bc-"]
+
+    def plain(w):
+        size = sum(len(w) >= k for k in (4, 7, 10, 15))
+        at = next((i for i, c in enumerate(w) if c > 127), None)
+        mark = 0 if at is None else 1 + (w[at + 1] if at + 1 < len(w) else 0) % 8
+        return (size * 9 + mark) * 2 + (w[-1] < 128 and not w[-1:].isalnum())
+
+    for most in (1 << 20, 40, 7, 1):
+        got, hashes = defaultdict(list), {}
+        for which, n, h, c in hmm._words(texts, most):
+            at = 0
+            for i, k in zip(which, n):
+                got[i] += list(zip(h[at : at + k].tolist(), c[at : at + k].tolist()))
+                at += k
+        assert set(got) == set(range(len(texts)))
+        for i, t in enumerate(texts):
+            want = (t or b"").lower().split()
+            assert [c for _, c in got[i]] == [plain(w) for w in want]
+            for w, (h, _) in zip(want, got[i], strict=True):
+                assert hashes.setdefault(w, h) == h
+        assert len(set(hashes.values())) == len(hashes)
+
+
+def test_hmm_score_equals_the_model(spark, monkeypatch):
+    """The score column against the sum over the model's own symbols, with a vocabulary too small for all words."""
+    kept = {}
+    refit = hmm.Model.refit
+    monkeypatch.setattr(hmm, "VOCABULARY", 12)
+    monkeypatch.setattr(hmm.Model, "refit", staticmethod(lambda *a: kept.setdefault("models", []).append(refit(*a)) or kept["models"][-1]))
+    rng = np.random.default_rng(8)
+    names = [f"{'abcde'[i % 5] * (1 + i % 11)}{'é' * (i % 2)}{i}" for i in range(40)]
+    texts = [" ".join(rng.choice(names, int(rng.integers(0, 30)), p=np.arange(40, 0, -1) / 820)) for _ in range(50)] + ["new words only", None]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = {r["doc_id"]: r["score"] for r in hmm.hmm_scores(frame, F.col("doc_id") % 7 != 2).collect()}
+    model = kept["models"][-1]
+    count = Counter(w for i, t in enumerate(texts) if i % 7 != 2 for w in words(t))
+    steps = defaultdict(list)
+    for w, c in count.items():
+        steps[math.floor(8 * math.log2(c))].append(w)
+    vocabulary, room = [], 12
+    for k in sorted(steps, reverse=True):
+        room -= len(steps[k])
+        if room < 0:
+            break
+        vocabulary += steps[k]
+    h = {w: int(hmm.piece_words(w.encode())[3].view(np.int64)[0]) for t in texts for w in words(t)}
+    vocabulary.sort(key=h.get)
+    kind = {w: int(next(hmm._words([w.encode()]))[3][0]) for w in h}
+    for i, t in enumerate(texts):
+        symbols, shares = [], 0.0
+        for w in words(t):
+            if w in vocabulary:
+                symbols.append(vocabulary.index(w))
+            else:
+                rest = [x for x in count if x not in vocabulary and kind[x] == kind[w]]
+                symbols.append(len(vocabulary) + kind[w])
+                shares += math.log10((count[w] + 1) / (sum(count[x] for x in rest) + len(rest) + 1))
+        a = model.start * model.emit[(symbols + [len(vocabulary) + hmm.CLASSES])[0]]
+        for k in (symbols + [len(vocabulary) + hmm.CLASSES])[1:]:
+            a = (a @ model.move) * model.emit[k]
+        assert math.isclose(rows[i], math.log10(a.sum()) + shares, rel_tol=1e-9)
+
+
+def test_states_earn_something(docs, monkeypatch):
+    """Held-out texts are likelier under the states than under one state of the same form."""
+    held = {}
+    for states in (1, hmm.STATES):
+        monkeypatch.setattr(hmm, "STATES", states)
+        held[states] = sum(r["score"] for r in hmm.hmm_scores(docs, F.col("doc_id") % 7 != 2).collect() if r["doc_id"] % 7 == 2)
+    assert held[hmm.STATES] > 0.99 * held[1]
+
+
 def test_hmm_odd(odd, empty):
     rows = hmm.hmm_scores(odd, F.col("doc_id") > 3).collect()
     assert len(rows) == odd.count() and all(math.isfinite(r["score"]) and math.isfinite(r["base_score"]) for r in rows)
