@@ -148,11 +148,13 @@ def _verified(width: int, percent: int):
     return run
 
 
-def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, workspace: Workspace | None = None) -> DataFrame:
+def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", width: int = 5, percent: int = 80, keys: bool = False, workspace: Workspace | None = None) -> DataFrame:
     """Documents linked when ``100 * intersection >= percent * union`` of shingle sets.
 
     Returns ``doc_id, n_shingles, component_id`` with one row for each input
     row; component_id is the least id reachable by links, itself included.
+    With ``keys`` also ``t1, t2`` (hashes of the text, xxhash64 plain and after
+    17) and ``component``, a number of the component (null without shingles).
 
     Defined cases: a null or blank text has no shingles and links with nothing
     (component_id is its own id, null if that is null); a null id joins
@@ -290,7 +292,9 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     # 9. Least document id of each component, back to all documents.
     tagged = labelled(classes.select("cid", "least_id", *key), comps, "cid", "component")
     least = tagged.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    tagged = ws.save(tagged.join(least, "component").select(*key, "component_id"), "tagged")
+    tagged = ws.save(tagged.join(least, "component").select(*key, "component_id", "component"), "tagged")
     ws.drop(nodes, post, items, pairs, classes, comps)
-    out = sets.select("doc_id", *key).join(tagged, key, "left")
-    return out.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    more = ["t1", "t2"] if keys else []
+    out = sets.select("doc_id", *key, *more).join(tagged, key, "left")
+    found = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
+    return out.select("doc_id", F.col("n").alias("n_shingles"), found, *more, *(["component"] if keys else []))
