@@ -207,9 +207,9 @@ def bitmap(keys: DataFrame, column: str, count: int) -> bytes:
     while size < min(MOST_BITS, KEY_BITS * count):
         size *= 2
     bits = keys.withColumn("r", F.expr(f"pmod({column}, {size}L)"))
-    words = bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toPandas()
+    words = bits.groupBy(F.expr("cast(r DIV 64 AS int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(r % 64 AS int))")).alias("bits")).toArrow()
     dense = np.zeros(size // 64, dtype=np.uint64)
-    dense[words["word"].to_numpy(dtype=np.int64)] = words["bits"].to_numpy(dtype=np.int64).view(np.uint64)
+    dense[words["word"].to_numpy()] = words["bits"].to_numpy().view(np.uint64)
     return dense.tobytes()
 
 

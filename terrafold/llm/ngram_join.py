@@ -36,7 +36,7 @@ HUB_PAIRS = 256
 #: Hubs that a group is held against in the first round.
 HUBS = 3
 #: Earlier shingles that a posting of the exhaustive round carries.
-BEFORE = 4
+BEFORE = 3
 
 
 def _bucket_counts(width: int):
@@ -167,9 +167,9 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
 
     # 1. Sketch of document frequencies over all documents (2^18 counters).
     with tidy(spark):
-        counts = src.select("text").mapInArrow(_bucket_counts(width), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toPandas()
+        counts = src.select("text").mapInArrow(_bucket_counts(width), "bucket int, df long").groupBy("bucket").agg(F.sum("df").alias("df")).toArrow()
     df_of = np.zeros(1 << SKETCH_BITS)
-    df_of[counts["bucket"].to_numpy(dtype=np.int64)] = counts["df"].to_numpy(dtype=np.float64)
+    df_of[counts["bucket"].to_numpy()] = counts["df"].to_numpy()
     levels = spark.sparkContext.broadcast(np.minimum(255, 4 * np.log2(1 + df_of)).astype(np.uint8).tobytes())
 
     # 2. Set sizes, signatures and prefixes of all documents.
@@ -183,9 +183,11 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     classes = sets.filter("n > 0").groupBy(*key).agg(F.min("doc_id").alias("least_id"), F.min("rid").alias("cid"), F.min("g1").alias("g1"), F.min("g2").alias("g2"))
     classes = ws.save(classes, "classes")
     groups = classes.groupBy("n", "g1", "g2").agg(F.min("cid").alias("lead"), F.count("*").alias("members"))
-    nodes = sets.select(F.col("rid").alias("cid"), "t1", "t2", "prefix").join(classes.select("cid", "n", "g1", "g2"), "cid")
-    nodes, found = ws.save_counted(nodes.join(groups, ["n", "g1", "g2"]).select("cid", "n", "t1", "t2", "lead", "members", "prefix"), "nodes", crowd=F.count_if(F.col("members") > 1))
+    nodes = classes.join(groups, ["n", "g1", "g2"]).select("cid", "n", "lead", "members")
+    nodes, found = ws.save_counted(nodes.join(sets.select(F.col("rid").alias("cid"), "t1", "t2", "prefix"), "cid"), "nodes", crowd=F.count_if(F.col("members") > 1))
     many = bool(found["crowd"])
+    ids = ws.save(sets.select("doc_id", *key, *(["t1", "t2"] if keys else [])), "ids")
+    ws.drop(sets)
     crowd = nodes.filter("members > 1").select("lead", "cid")
 
     # 4. Postings of the groups' prefixes.  A bitmap of the shingles that more
@@ -250,14 +252,16 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
         member = crowd.join(astray.select("cid"), "cid", "left_anti")
         items = items.unionByName(items.join(astray, F.col("node") == F.col("lead")).select("tok", F.col("cid").alias("node"), "n", "pos"))
 
-    # 8. Exhaustive round over pairs of different components.  Each posting has
-    # the shingles before it: a pair that shares one of them has met there.
+    # 8. Exhaustive round over pairs of different components, which meet in
+    # shingles of several.  Each posting has the shingles before it: a pair that
+    # shares one of them has met there.
     line = W.partitionBy("node").orderBy("pos")
     before = [f"before_{k}" for k in range(BEFORE)]
-    items = labelled(items, comps, "node", "comp").select("*", *[F.lag("tok", k + 1).over(line).alias(b) for k, b in enumerate(before)])
-    items = ws.save(items, "labelled")
+    items = ws.save(labelled(items, comps, "node", "comp"), "labelled")
     per = items.groupBy("tok", "comp").count().groupBy("tok").agg(F.max_by("comp", F.struct("count", "comp")).alias("main"), F.count("*").alias("comps")).filter("comps > 1")
-    mixed = items.join(per.select("tok", "main"), "tok").withColumn("minor", F.col("comp") != F.col("main")).drop("main")
+    mixed = ws.save(items.join(per.select("tok", "main"), "tok").withColumn("minor", F.col("comp") != F.col("main")).drop("main"), "mixed")
+    ws.drop(post, items)
+    mixed = mixed.select("*", *[F.lag("tok", k + 1).over(line).alias(b) for k, b in enumerate(before)])
     x, y = mixed.filter("minor").alias("x"), mixed.alias("y")
     least = F.expr(f"(({percent} * (x.n + y.n) + {99 + percent}) DIV {100 + percent})")
     meets = (F.col("x.tok") == F.col("y.tok")) & (F.col("x.comp") != F.col("y.comp")) & (~F.col("y.minor") | (F.col("x.node") < F.col("y.node")))
@@ -293,8 +297,8 @@ def ngram_jaccard_components(docs: DataFrame, *, id_col: str = "doc_id", text_co
     tagged = labelled(classes.select("cid", "least_id", *key), comps, "cid", "component")
     least = tagged.groupBy("component").agg(F.min("least_id").alias("component_id"))
     tagged = ws.save(tagged.join(least, "component").select(*key, "component_id", "component"), "tagged")
-    ws.drop(nodes, post, items, pairs, classes, comps)
+    ws.drop(nodes, pairs, classes, comps)
     more = ["t1", "t2"] if keys else []
-    out = sets.select("doc_id", *key, *more).join(tagged, key, "left")
+    out = ids.join(tagged, key, "left")
     found = F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id")
     return out.select("doc_id", F.col("n").alias("n_shingles"), found, *more, *(["component"] if keys else []))
