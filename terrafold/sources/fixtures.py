@@ -73,9 +73,11 @@ FIXTURES = {
     "fx_relation_members": """SELECT CAST(c.c_nationkey AS BIGINT) AS rel_id, o.o_orderkey AS way_id FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey WHERE o.o_orderkey % 9 = 0
         UNION ALL SELECT CAST((c.c_nationkey + 1) % 25 AS BIGINT), o.o_orderkey FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey WHERE o.o_orderkey % 18 = 0""",
     "fx_ocean": "SELECT CAST(-1000000000 - r_regionkey AS BIGINT) AS poly_id, CAST(1.30 AS DOUBLE) + CAST(r_regionkey AS DOUBLE) / 10 AS west, CAST(1.40 AS DOUBLE) + CAST(r_regionkey AS DOUBLE) / 10 AS east, CAST(42.35 AS DOUBLE) AS south, CAST(42.65 AS DOUBLE) AS north FROM {region}",
-    "fx_viewports": """SELECT event_id AS view_id, CAST(10 + event_id % 6 AS INT) AS zoom, n.lon, n.lat FROM {events} e CROSS JOIN (SELECT count(*) AS np FROM {part}) c JOIN fx_nodes n ON n.node_id = (e.event_id * 13) % c.np""",
+    "fx_viewports": """SELECT event_id AS view_id, CAST(10 + event_id % 6 AS INT) AS zoom, n.lon, n.lat
+        FROM (SELECT event_id, (event_id * 13) % (SELECT count(*) FROM {part}) AS at FROM {events}) e JOIN fx_nodes n ON n.node_id = e.at""",
     "fx_route_requests": """SELECT s_suppkey AS request_id, CASE s_suppkey % 3 WHEN 0 THEN 'CAR' WHEN 1 THEN 'BIKE' ELSE 'WALK' END AS profile, a.lon AS from_lon, a.lat AS from_lat, b.lon AS to_lon, b.lat AS to_lat
-        FROM {supplier} e CROSS JOIN (SELECT count(*) AS np FROM {part}) c JOIN fx_nodes a ON a.node_id = (e.s_suppkey * 17) % c.np JOIN fx_nodes b ON b.node_id = (e.s_suppkey * 101 + 7) % c.np""",
+        FROM (SELECT s_suppkey, (s_suppkey * 17) % (SELECT count(*) FROM {part}) AS at, (s_suppkey * 101 + 7) % (SELECT count(*) FROM {part}) AS goal FROM {supplier}) e
+        JOIN fx_nodes a ON a.node_id = e.at JOIN fx_nodes b ON b.node_id = e.goal""",
     "fx_rules": 'SELECT * FROM (VALUES ' + ", ".join(_rule(*r) for r in STYLE_RULES) + ') AS t(selector, "key", "value", zoom, color, priority)',
 }
 _NEEDS = {"fx_viewports": ["fx_nodes"], "fx_route_requests": ["fx_nodes"]}
