@@ -219,6 +219,13 @@ def bitmap_hit(bits: bytes, keys: np.ndarray) -> np.ndarray:
     return ((words[r // 64] >> (r % 64).astype(np.uint64)) & np.uint64(1)).astype(bool)
 
 
+def slices(batches, rows: int = 2048) -> Iterator:
+    """Record batches of at most ``rows`` rows, so that what is made of one stays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 # -- connected components -----------------------------------------------------
 
 

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship_package
+from .common import ship_package, slices
 
 #: Bounds of the training sample: documents of each language, and of all together
 #: (beyond 64 languages each has an equal share).
@@ -173,7 +173,7 @@ def train_language_model(labelled: DataFrame, *, text_col: str = "text", lang_co
     rare = src.withColumn("h", F.expr(f"pmod(xxhash64(text), {space})")).filter(F.col("h") < share)
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for lang, h, text in zip(*(batch.column(c).to_pylist() for c in ("lang", "h", "text")), strict=True):
                 if has_letter(text):
@@ -213,7 +213,7 @@ def predict_language(docs: DataFrame, model: LanguageModel | None, *, text_col:
     src = docs.select(*keep, F.col(text_col).cast("string").alias("__terrafold_text"))
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = batch.column("__terrafold_text").to_pylist()
             names, scores = ["und"] * len(texts), np.zeros(len(texts))
             use = [i for i, t in enumerate(texts) if sent.value is not None and has_letter(t)]

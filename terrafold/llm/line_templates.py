@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, bytes_powers, splitmix, tidy
+from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, bytes_powers, slices, splitmix, tidy
 
 #: Leading tokens of a leaf.
 DEPTH = 4
@@ -119,7 +119,7 @@ def _lines(texts):
 
 
 def _count_leaves(batches):
-    for batch in batches:
+    for batch in slices(batches):
         leaf, n = np.unique(_lines(arrow_bytes(batch.column(0)))[3], return_counts=True)
         yield pa.record_batch([pa.array(leaf.view(np.int64)), pa.array(n)], names=["leaf", "n"])
 
@@ -147,7 +147,7 @@ _SKETCHES = [f"s{k}" for k in range(SKETCHES)]
 
 def _busy_lines(busy):
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             text, pos, n, leaf, form, token = _lines(arrow_bytes(batch.column("text")))
             near = _sketches(text, n, form)
             keep = bitmap_hit(busy.value, leaf.view(np.int64))

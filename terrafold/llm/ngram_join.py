@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window as W
 
-from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, connected_components, set_signature, shingle_set, tidy
+from .common import Workspace, arrow_bytes, bitmap, bitmap_hit, connected_components, set_signature, shingle_set, slices, tidy
 
 #: Buckets of the frequency sketch (one byte each when sent to the executors).
 SKETCH_BITS = 18
@@ -50,7 +50,7 @@ def _bucket_counts(width: int):
                 np.add(total, np.bincount(np.concatenate(parts), minlength=len(total)), out=total)
                 parts.clear()
 
-        for batch in batches:
+        for batch in slices(batches):
             for data in arrow_bytes(batch.column(0)):
                 u = shingle_set(data, width)
                 parts.append((u & mask).astype(np.int64))
@@ -72,7 +72,7 @@ def _prefixes(width: int, percent: int, levels):
         level = np.frombuffer(levels.value, dtype=np.uint8).astype(np.uint64) << np.uint64(56)
         mask = np.uint64((1 << SKETCH_BITS) - 1)
         number = TaskContext.get().partitionId() << 40
-        for batch in batches:
+        for batch in slices(batches):
             size, sigs, prefix, offsets = [], [], [], [0]
             for data in arrow_bytes(batch.column("text")):
                 u = shingle_set(data, width)
@@ -130,7 +130,7 @@ def _verified(width: int, percent: int):
 
     def run(batches):
         hub, hub_set = None, None
-        for batch in batches:
+        for batch in slices(batches):
             a, b = [], []
             for x, y, side, data in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("side").to_pylist(), arrow_bytes(batch.column("text")), strict=True):
                 other = shingle_set(data, width)

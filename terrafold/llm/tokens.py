@@ -29,7 +29,7 @@ _SPLIT = {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}
 _PRETOKENIZERS = [{"type": "Split", "pattern": _SPLIT, "behavior": "Removed", "invert": True}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]
 
 #: Entries of each of the two generations of a worker's memo.
-MEMO_LIMIT = 350_000
+MEMO_LIMIT = 150_000
 
 
 def _byte_letters() -> dict[int, str]:
