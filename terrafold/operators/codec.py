@@ -107,12 +107,18 @@ def decode_tile(data: bytes) -> list[dict]:
     return out
 
 
+def cut_text(text: str, most: int = 255) -> bytes:
+    """UTF-8 of a text, at most ``most`` bytes, whole characters."""
+    return text.encode()[:most].decode("utf-8", "ignore").encode()
+
+
 def _blob(key, pdf: pd.DataFrame) -> pd.DataFrame:
     records = []
     for r in pdf.sort_values("rank").itertuples():
         rings = [[(p["px"], p["py"]) for p in ring] for ring in r.rings]
         if r.geom_type == TEXT:
-            records.append(encode_text(r.color_idx, r.zoom_priority, r.width_byte, *rings[0][0], r.text.encode()[:255]))
+            shield = None if r.shield is None else tuple(int(v) for v in r.shield)
+            records.append(encode_text(r.color_idx, r.zoom_priority, r.width_byte, *rings[0][0], cut_text(r.text), shield))
         else:
             records.append(encode_shape(r.geom_type, r.color_idx, r.zoom_priority, r.width_byte, rings))
     data = encode_tile(records)
@@ -124,7 +130,8 @@ def encode_tiles(features: DataFrame) -> DataFrame:
 
     A tile is bounded by its record limit, so one group fits a task.
     """
-    cols = features.select("z", "x", "y", "rank", "geom_type", "color_idx", "zoom_priority", "width_byte", "rings", "text")
+    shield = F.col("shield") if "shield" in features.columns else F.lit(None)
+    cols = features.select("z", "x", "y", "rank", "geom_type", "color_idx", "zoom_priority", "width_byte", "rings", "text", shield.cast("array<int>").alias("shield"))
     return cols.groupBy("z", "x", "y").applyInPandas(_blob, "z int, x long, y long, features long, size long, blob binary")
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import features, graph, scalar, tiles, view
+from . import features, graph, scalar, tiles, view, whole
 
-QUERIES = {**scalar.QUERIES, **features.QUERIES, **tiles.QUERIES, **graph.QUERIES, **view.QUERIES}
-ORACLE_SQL = {**scalar.ORACLE, **features.ORACLE, **tiles.ORACLE, **graph.ORACLE, **view.ORACLE}
+QUERIES = {**scalar.QUERIES, **features.QUERIES, **tiles.QUERIES, **graph.QUERIES, **view.QUERIES, **whole.QUERIES}
+ORACLE_SQL = {**scalar.ORACLE, **features.ORACLE, **tiles.ORACLE, **graph.ORACLE, **view.ORACLE, **whole.ORACLE}

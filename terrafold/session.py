@@ -1,4 +1,4 @@
-"""Sending the package to Python workers."""
+"""Sending the package to Python workers, and cutting long plans."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -25,3 +25,20 @@ def ship_package(spark: SparkSession) -> None:
             z.write(path, path.relative_to(root.parent))
     sc.addPyFile(str(archive))
     sc._terrafold_shipped = True
+
+
+def cut(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read from the checkpoint folder, so that plans on it start anew.
+
+    The folder is ``spark.checkpoint.dir``, which driver and executors share;
+    only a local master without it (tests) gets a temporary one.
+    """
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not base:
+            if not sc.master.startswith("local"):
+                raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+            base = tempfile.mkdtemp(prefix="terrafold-")
+        sc.setCheckpointDir(base)
+    return df.checkpoint()

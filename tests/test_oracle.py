@@ -62,3 +62,66 @@ def test_entry(spark):
 
     assert e.entry(spark).limit(5).count() == 5
     assert set(e.oracle_sql()) <= set(e.queries())
+
+
+def test_whole_tiles_decode_to_what_was_encoded(spark, sf_dir):
+    rows = {r["kind"]: r for r in catalog.QUERIES["tile_whole_decoded"](spark, sf_dir).collect()}
+    assert set(rows) == {"background", "polygon", "line", "symbol", "label"}
+    assert all(r["same"] == r["records"] > 0 for r in rows.values())
+
+
+def test_decks_lie_where_bridges_do(spark, sf_dir):
+    rows = catalog.QUERIES["deck_tiles"](spark, sf_dir).collect()
+    # Each line record of a bridge has a deck of one quad a segment at least.
+    assert rows and all(r["decks"] >= r["lines"] > 0 for r in rows)
+
+
+def test_route_searches(spark, sf_dir):
+    """Lengths of paths against a plain search over the same edges; the guided search settles no more nodes."""
+    import heapq
+
+
+    from terrafold.operators import route
+    from terrafold.plans import graph
+
+    asked, edges = graph._placed(spark, sf_dir), graph._celled_edges(spark, sf_dir)
+    cells = {}
+    for r in route.request_cells(asked).select("request_id", "lat_e4", "lon_e4").collect():
+        cells.setdefault(r["request_id"], set()).add((r["lat_e4"], r["lon_e4"]))
+    links = edges.select("profile", "lat_e4", "lon_e4", "src_id", "dst_id", "cost", "dist_m").collect()
+    found = {r["request_id"]: r for r in route.shortest_paths(asked, edges).collect()}
+    guided = {r["request_id"]: r for r in route.shortest_paths(asked, edges, speed=36.1).collect()}
+    places = {r["node_id"]: (r["lon"], r["lat"]) for r in graph.table(spark, sf_dir, "fx_nodes").collect()}
+    lengths = {r["request_id"]: r["length_m"] for r in catalog.QUERIES["route_length"](spark, sf_dir).collect()}
+    rows = asked.collect()
+    assert len(rows) == len(found) == len(guided) == 10
+    for r in rows:
+        out = {}
+        for e in links:
+            if e["profile"] == r["profile"] and (e["lat_e4"], e["lon_e4"]) in cells[r["request_id"]]:
+                out.setdefault(e["src_id"], []).append((e["dst_id"], e["cost"]))
+        best, todo, done = {r["source"]: 0}, [(0, r["source"])], set()
+        while todo:
+            c, n = heapq.heappop(todo)
+            if n not in done:
+                done.add(n)
+                for b, w in out.get(n, ()):
+                    if c + w < best.get(b, 1 << 60):
+                        best[b] = c + w
+                        heapq.heappush(todo, (c + w, b))
+        got, led = found[r["request_id"]], guided[r["request_id"]]
+        assert got["cost"] == (best[r["target"]] if r["target"] in done else None)
+        if got["cost"] is None:
+            continue
+        assert led["visited"] <= got["visited"] and led["cost"] >= got["cost"]
+        total = 0
+        for a, b in zip(got["path"], got["path"][1:]):
+            total += min(w for x, w in out[a] if x == b)
+        assert total == got["cost"]
+        import math
+
+        metres = 0.0
+        for a, b in zip(got["path"], got["path"][1:]):
+            (x0, y0), (x1, y1) = places[a], places[b]
+            metres += math.hypot((x1 - x0) * 111319.0 * math.cos(math.radians((y0 + y1) / 2)), (y1 - y0) * 111319.0)
+        assert abs(lengths[r["request_id"]] - metres) <= 0.06
