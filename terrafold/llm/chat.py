@@ -90,8 +90,8 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, *,
     is one); repeated calls stay rows of their own, exact copies once, and all
     link to the identifier's result, the least by turn and content; n_results
     counts all; depth follows the least parent of an identifier; a null
-    identifier links with nothing (each distinct such call stays, with depth 0;
-    such results are no rows); null arguments are ``not json``; calls on a
+    identifier links with nothing (each distinct such call stays with depth 0,
+    each distinct such result as an orphan, error ``no id``); null arguments are ``not json``; calls on a
     cycle have depth -1; empty tables give no rows; other columns are ignored.
     Texts beyond the size limit of Spark's variants are ``not json``.
     """
@@ -106,7 +106,9 @@ def link_tool_calls(calls: DataFrame, results: DataFrame, schemas: DataFrame, *,
     linked = linked.select("conv_id", "turn", "call_id", F.lit("call").alias("kind"), "depth", F.coalesce("n_results", F.lit(0)).cast("long").alias("n_results"), F.col("r.turn").alias("result_turn"), "errors", "name", "arguments", F.col("r.content").alias("content"))
     orphan = found.join(named.select("key"), "key", "left_anti").select("r.conv_id", F.col("r.turn").alias("turn"), "r.call_id", F.lit("orphan").alias("kind"), F.lit(0).cast("long").alias("depth"), F.col("n_results"), F.col("r.turn").alias("result_turn"), F.array(F.lit("no call")).alias("errors"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), F.col("r.content").alias("content"))
     nameless = c.filter("call_id IS NULL").distinct().select("conv_id", "turn", "call_id", F.lit("call").alias("kind"), F.lit(0).cast("long").alias("depth"), F.lit(0).cast("long").alias("n_results"), F.lit(None).cast(results.schema["turn"].dataType).alias("result_turn"), F.array(F.lit("no id")).alias("errors"), "name", "arguments", F.lit(None).cast("string").alias("content"))
-    rows = linked.unionByName(orphan).unionByName(nameless)
+    lost = results.filter("call_id IS NULL").groupBy("conv_id", "turn", "content").agg(F.count("*").alias("n_results"))
+    lost = lost.select("conv_id", "turn", F.lit(None).cast("string").alias("call_id"), F.lit("orphan").alias("kind"), F.lit(0).cast("long").alias("depth"), "n_results", F.col("turn").alias("result_turn"), F.array(F.lit("no id")).alias("errors"), F.lit(None).cast("string").alias("name"), F.lit(None).cast("string").alias("arguments"), "content")
+    rows = linked.unionByName(orphan).unionByName(nameless).unionByName(lost)
     given = F.coalesce(F.to_json(F.try_parse_json("arguments")), F.lit("null"))
     quoted = lambda x: F.coalesce(F.expr(f"substring(to_json(array({x})), 2, length(to_json(array({x}))) - 2)"), F.lit("null"))
     body = F.concat(F.lit('{"arguments":'), given, F.lit(',"id":'), quoted("call_id"), F.lit(',"name":'), quoted("name"), F.lit(',"result":'), quoted("content"), F.lit("}"))

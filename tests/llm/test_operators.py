@@ -595,10 +595,10 @@ def test_tool_calls_by_conversation(spark):
     got = Counter((x["conv_id"], x["turn"], x["call_id"], x["kind"], x["depth"], x["n_results"], x["result_turn"], x["errors"]) for x in chat.link_tool_calls(c, r, schemas).collect())
     assert got == Counter([
         (1, 0, "call_1", "call", 0, 1, 1, ""), (2, 0, "call_1", "call", 0, 2, 1, ""), (2, 4, "call_1", "call", 0, 2, 1, ""), (None, 1, "call_1", "call", 0, 1, None, "not json"), (3, 1, None, "call", 0, 0, None, "no id"),
-        (4, 1, "x", "call", -1, 0, None, ""), (4, 2, "y", "call", -1, 0, None, "it's: missing"), (5, 0, "long", "call", 0, 0, None, "a: kind"), (9, 1, "call_1", "orphan", 0, 1, 1, "no call"),
+        (4, 1, "x", "call", -1, 0, None, ""), (4, 2, "y", "call", -1, 0, None, "it's: missing"), (5, 0, "long", "call", 0, 0, None, "a: kind"), (9, 1, "call_1", "orphan", 0, 1, 1, "no call"), (3, 3, None, "orphan", 0, 1, 3, "no id"),
     ])
     none = chat.link_tool_calls(c.limit(0), r.limit(0), schemas.limit(0))
-    assert none.collect() == [] and chat.link_tool_calls(c.limit(0), r, schemas).count() == 4
+    assert none.collect() == [] and chat.link_tool_calls(c.limit(0), r, schemas).count() == 5
     turns = spark.createDataFrame([(None, 5, "user", "a"), (5, None, "user", "b"), (7, 1, "user", None), (7, 2, None, "x"), (7, 4, "tool", "y")], "conv_id long, turn long, role string, text string")
     rows = chat.link_tool_calls(*chat.conversation_calls(turns), schemas).collect()
     assert Counter((x["conv_id"], x["turn"], x["kind"], x["n_results"]) for x in rows) == Counter([(None, 5, "call", 0), (5, None, "call", 0), (7, 1, "call", 1), (7, 4, "orphan", 1)])
