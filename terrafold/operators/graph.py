@@ -117,6 +117,36 @@ def edge_offsets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return d.withColumn("edge_offset", F.coalesce(F.sum("degree").over(before), F.lit(0)).cast("long"))
 
 
+def indexed_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``profile, lat_e4, lon_e4, src_idx, dst_idx, cost, dist_m, flags`` in the cell of the start.
+
+    ``nodes``: as ``index_nodes`` gives them; flags are the one-way bit and the
+    road class behind it.
+    """
+    start = nodes.select("profile", F.col("node_id").alias("src_id"), F.col("node_idx").alias("src_idx"), "lat_e4", "lon_e4")
+    end = nodes.select("profile", F.col("node_id").alias("dst_id"), F.col("node_idx").alias("dst_idx"))
+    d = edges.select("profile", "src_id", "dst_id", "cost", "dist_m", (F.col("hw_class") * 2 + F.col("flag")).cast("long").alias("flags"))
+    return d.join(start, ["profile", "src_id"]).join(end, ["profile", "dst_id"]).drop("src_id", "dst_id")
+
+
+#: Bytes of a node and of an edge in a graph file.
+NODE_BYTES, EDGE_BYTES = 12, 12
+
+
+def cell_index(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``profile, lat_e4, lon_e4, node_offset, nodes, data_offset, edges``: the index of a graph file.
+
+    Offsets run over the cells in unsigned order; only the table of cells is
+    ordered as a whole.  ``edges``: as ``indexed_edges`` gives them.
+    """
+    cell = ["profile", "lat_e4", "lon_e4"]
+    m = edges.groupBy(*cell).agg(F.count("*").alias("edges"))
+    d = nodes.groupBy(*cell).agg(F.count("*").alias("nodes")).join(m, cell, "left").withColumn("edges", F.coalesce("edges", F.lit(0)).cast("long"))
+    before = W.partitionBy("profile").orderBy(*unsigned_order("lat_e4", "lon_e4")).rowsBetween(W.unboundedPreceding, -1)
+    size = F.col("nodes") * NODE_BYTES + F.col("edges") * EDGE_BYTES
+    return d.withColumn("node_offset", F.coalesce(F.sum("nodes").over(before), F.lit(0))).withColumn("data_offset", F.coalesce(F.sum(size).over(before), F.lit(0))).select(*cell, "node_offset", "nodes", "data_offset", "edges")
+
+
 def cell_statistics(pieces: DataFrame) -> DataFrame:
     """Edges, share of one-way edges and edges of each class by cell."""
     classes = [F.count_if(F.col("hw_class") == k).alias(f"class_{k}") for k in range(7)]

@@ -111,6 +111,20 @@ def pack_offsets(tiles: DataFrame, palette_sizes: DataFrame) -> DataFrame:
     return d.select("z", "x", "y", "size", (F.col("start") + F.col("before") + F.col("inner")).alias("offset"))
 
 
+def find_tiles(wanted: DataFrame, placed: DataFrame) -> DataFrame:
+    """``wanted`` rows (z, x, y) with the offset and size of their tile; zeros for a tile that is not there."""
+    d = wanted.join(placed.select("z", "x", "y", "offset", "size"), ["z", "x", "y"], "left")
+    return d.withColumn("offset", F.coalesce("offset", F.lit(0))).withColumn("size", F.coalesce("size", F.lit(0)))
+
+
+def pack_totals(tiles: DataFrame, palette_sizes: DataFrame) -> DataFrame:
+    """``z, tiles, wide, high, colors, bytes, mb`` of each zoom's pack."""
+    sizes = tiles.groupBy("z").agg(F.sum("size").alias("blobs"))
+    d = pack_bounds(tiles).join(sizes, "z").join(palette_sizes, "z")
+    total = F.lit(23) + F.col("wide") * F.col("high") * 8 + F.col("colors") * 2 + F.col("blobs")
+    return d.withColumn("bytes", total).select("z", "tiles", "wide", "high", "colors", "bytes", F.round(F.col("bytes") / 1048576.0, 6).alias("mb"))
+
+
 def order_in_tile(features: DataFrame) -> DataFrame:
     """Draw order: nibble, then arrival; at most TILE_RECORDS records a tile."""
     rank = F.row_number().over(W.partitionBy("z", "x", "y").orderBy("nibble", "ord"))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import classify as C
 from ..operators import graph, route
+from ..session import cut
+from ..sources import packs
 from ..sources.fixtures import table, with_sql
 from . import features as features_plans
 from .registry import Registry, longs
@@ -117,12 +119,50 @@ def edge_offsets(spark, sf_dir):
     return d.select("profile", "node_id", "degree", "edge_offset", F.lead("node_idx").over(cell).isNull().alias("last"))
 
 
+def _placed_nodes(spark, sf_dir):
+    return graph.index_nodes(_nodes(spark, sf_dir))
+
+
+_INDEXED = "xedges AS (SELECT e.profile, s.lat_e4, s.lon_e4, s.node_idx AS src_idx, d.node_idx AS dst_idx, e.cost, e.dist_m, CAST(e.hw_class * 2 + e.flag AS BIGINT) AS flags FROM edges e JOIN inodes s ON s.profile = e.profile AND s.node_id = e.src_id JOIN inodes d ON d.profile = e.profile AND d.node_id = e.dst_id)"
+
+
+@query(
+    f"""{_GRAPH}, {_NODES}, {_INDEXED}, cells AS (SELECT n.profile, n.lat_e4, n.lon_e4, n.nodes, coalesce(e.edges, 0) AS edges FROM (SELECT profile, lat_e4, lon_e4, count(*) AS nodes FROM inodes GROUP BY 1, 2, 3) n LEFT JOIN (SELECT profile, lat_e4, lon_e4, count(*) AS edges FROM xedges GROUP BY 1, 2, 3) e USING (profile, lat_e4, lon_e4))
+    SELECT profile, lat_e4, lon_e4, CAST(coalesce(sum(nodes) OVER w, 0) AS BIGINT) AS node_offset, nodes, CAST(coalesce(sum(nodes * 12 + edges * 12) OVER w, 0) AS BIGINT) AS data_offset, edges FROM cells WINDOW w AS (PARTITION BY profile ORDER BY lat_e4, lon_e4 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"""
+)
+def graph_cell_index(spark, sf_dir):
+    n = _placed_nodes(spark, sf_dir)
+    return longs(graph.cell_index(n, graph.indexed_edges(n, _edges(spark, sf_dir))))
+
+
+@query(f"{_GRAPH}, {_NODES}, {_INDEXED} SELECT * FROM xedges")
+def graph_file_edges(spark, sf_dir):
+    """Edges read back from the graph files that the tables were written to."""
+    e = _edges(spark, sf_dir)
+    n = cut(_placed_nodes(spark, sf_dir))
+    offsets = graph.edge_offsets(n, e).select("profile", "lat_e4", "lon_e4", "node_idx", "lat", "lon", "edge_offset")
+    return packs.read_graph_files(packs.graph_files(packs.graph_cells(offsets, graph.indexed_edges(n, e))))
+
+
+@query(with_sql("fx_ways") + f", {_RWAYS} SELECT profile, r.way_id, coalesce(w.ref, '') AS name FROM rways r JOIN fx_ways w ON w.way_id = r.way_id")
+def route_names(spark, sf_dir):
+    """Names of routable ways: the name, else the number."""
+    return _ways(spark, sf_dir).select("profile", "way_id", F.coalesce("name", F.lit("")).alias("name"))
+
+
 @query(f"{_GRAPH}, {_CUTS} SELECT profile, lat_e4, lon_e4, count(*) AS edges, count(*) FILTER (flag = 1) AS oneway_edges, " + ", ".join(f"count(*) FILTER (hw_class = {k}) AS class_{k}" for k in range(7)) + " FROM pieces GROUP BY 1, 2, 3")
 def cell_stats(spark, sf_dir):
     return graph.cell_statistics(graph.split_cells(_edges(spark, sf_dir)))
 
 
-@query()
+@query(
+    _GRAPH.replace("WITH ", "WITH RECURSIVE ", 1)
+    + f""", {_CUTS}, links AS (SELECT DISTINCT profile, lat_e4, lon_e4, src_id, dst_id FROM pieces),
+    ends2 AS (SELECT profile, lat_e4, lon_e4, src_id AS node FROM links UNION SELECT profile, lat_e4, lon_e4, dst_id FROM links),
+    sizes AS (SELECT profile, lat_e4, lon_e4, count(*) AS nodes, min(node) AS first FROM ends2 GROUP BY 1, 2, 3),
+    reach AS (SELECT profile, lat_e4, lon_e4, first AS node FROM sizes UNION SELECT l.profile, l.lat_e4, l.lon_e4, l.dst_id FROM reach r JOIN links l ON l.profile = r.profile AND l.lat_e4 = r.lat_e4 AND l.lon_e4 = r.lon_e4 AND l.src_id = r.node)
+    SELECT s.profile, s.lat_e4, s.lon_e4, s.nodes, r.reached FROM sizes s JOIN (SELECT profile, lat_e4, lon_e4, count(*) AS reached FROM reach GROUP BY 1, 2, 3) r USING (profile, lat_e4, lon_e4)"""
+)
 def cell_reachability(spark, sf_dir):
     return graph.cell_reach(graph.split_cells(_edges(spark, sf_dir)))
 

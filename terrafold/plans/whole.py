@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
-from ..operators import assemble, classify as C, codec, labels, style, whole_tile
+from ..operators import assemble, classify as C, codec, labels, style, tiling, whole_tile
 from ..session import cut
 from ..sources.fixtures import table, with_sql
 from . import features as features_plans
@@ -109,3 +109,34 @@ def line_nibbles(spark, sf_dir):
     """The draw order of lines: their rule's priority."""
     looks = style.best_rule(features_plans.ways(spark, sf_dir), table(spark, sf_dir, "fx_rules"), "way_id").filter("interesting")
     return longs(looks.select("way_id", F.least("priority", F.lit(15)).alias("nibble"), "min_zoom"))
+
+
+# -- packs: lookups and totals ----------------------------------------------------
+
+_OFFSETS = with_sql("fx_ways", "fx_way_nodes", "fx_nodes", "fx_viewports") + tile_plans._BOXES + ", " + tile_plans._SIZED + """, placed AS (SELECT z, x, y, size, CAST(23 + (max(x) OVER w - min(x) OVER w + 1) * (max(y) OVER w - min(y) OVER w + 1) * 8 + 7 * 2 + coalesce(sum(size) OVER (PARTITION BY z ORDER BY y, x ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS BIGINT) AS place FROM sized WINDOW w AS (PARTITION BY z))"""
+
+
+def _placed(spark, sf_dir):
+    t = tile_plans._sized(spark, sf_dir)
+    return tiling.pack_offsets(t, t.select("z").distinct().withColumn("colors", F.lit(7)))
+
+
+@query(
+    _OFFSETS
+    + f""" SELECT v.view_id, v.z, v.x, v.y, coalesce(p.place, 0) AS "offset", CAST(coalesce(p.size, 0) AS BIGINT) AS size FROM (SELECT view_id, CAST(10 + 2 * (view_id % 2) AS BIGINT) AS z, CAST(floor({sql_x('lon', '(10 + 2 * (view_id % 2))')}) AS BIGINT) AS x, CAST(floor({sql_y('lat', '(10 + 2 * (view_id % 2))')}) AS BIGINT) AS y FROM fx_viewports) v LEFT JOIN placed p USING (z, x, y)"""
+)
+def tile_lookup(spark, sf_dir):
+    """Place and size of the tile at each view's centre; zeros where the pack has none."""
+    z = 10 + 2 * (F.col("view_id") % 2)
+    v = table(spark, sf_dir, "fx_viewports").select("view_id", z.cast("long").alias("z"), F.floor(S.lon_to_x("lon", z)).cast("long").alias("x"), F.floor(S.lat_to_y("lat", z)).cast("long").alias("y"))
+    return longs(tiling.find_tiles(v, _placed(spark, sf_dir)))
+
+
+@query(
+    _OFFSETS
+    + """ SELECT z, count(*) AS tiles, max(x) - min(x) + 1 AS wide, max(y) - min(y) + 1 AS high, CAST(7 AS BIGINT) AS colors, CAST(23 + (max(x) - min(x) + 1) * (max(y) - min(y) + 1) * 8 + 14 + sum(size) AS BIGINT) AS bytes, round((23 + (max(x) - min(x) + 1) * (max(y) - min(y) + 1) * 8 + 14 + sum(size)) / 1048576.0::DOUBLE, 6) AS mb FROM placed GROUP BY z"""
+)
+def pack_stats(spark, sf_dir):
+    """Tiles, corners, palette and size of each zoom's pack."""
+    t = tile_plans._sized(spark, sf_dir)
+    return longs(tiling.pack_totals(t, t.select("z").distinct().withColumn("colors", F.lit(7))))

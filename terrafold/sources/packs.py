@@ -87,15 +87,12 @@ def build_graph(cells: list[tuple[int, int, list, list]]) -> bytes:
     Cells stand in the order of their unsigned coordinates.  A cell holds at
     most 65535 nodes and edges.
     """
-    cells = sorted(cells, key=lambda c: (c[0] & 0xFFFFFFFF, c[1] & 0xFFFFFFFF))
-    index, body, nodes_before = bytearray(), bytearray(), 0
+    made = []
     for lat, lon, nodes, edges in cells:
         if max(len(nodes), len(edges)) > 0xFFFF:
             raise ValueError(f"cell {lat}_{lon} is too large for the file format")
-        index += GRAPH_CELL.pack(lat, lon, nodes_before, len(nodes), len(body), len(edges))
-        body += b"".join(GRAPH_NODE.pack(*n) for n in nodes) + b"".join(GRAPH_EDGE.pack(*e) for e in edges)
-        nodes_before += len(nodes)
-    return GRAPH_HEADER.pack(b"ROUT", 500, len(cells), 0, 0, 0, 0, 0) + bytes(index + body)
+        made.append((lat, lon, len(nodes), len(edges), cell_body(nodes, [e[:4] for e in edges])))
+    return graph_file(made)
 
 
 def parse_graph(data: bytes, box: tuple[int, int, int, int] | None = None) -> list[tuple[int, int, int, list, list]]:
@@ -116,6 +113,80 @@ def parse_graph(data: bytes, box: tuple[int, int, int, int] | None = None) -> li
     return out
 
 
+def cell_body(nodes: list[tuple], edges: list[tuple]) -> bytes:
+    """Bytes of a cell: nodes (lat, lon, edge_offset), then edges (dst, cost, dist, flags)."""
+    return b"".join(GRAPH_NODE.pack(*n) for n in nodes) + b"".join(GRAPH_EDGE.pack(*e, 0) for e in edges)
+
+
+def graph_file(cells: list[tuple]) -> bytes:
+    """Graph file of cells (lat_e4, lon_e4, nodes, edges, body), in unsigned order."""
+    index, body, before = bytearray(), bytearray(), 0
+    for lat, lon, nodes, edges, data in sorted(cells, key=lambda c: (c[0] & 0xFFFFFFFF, c[1] & 0xFFFFFFFF)):
+        index += GRAPH_CELL.pack(lat, lon, before, nodes, len(body), edges)
+        body += data
+        before += nodes
+    return GRAPH_HEADER.pack(b"ROUT", 500, len(cells), 0, 0, 0, 0, 0) + bytes(index + body)
+
+
+def graph_cells(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``profile, lat_e4, lon_e4, nodes, edges, body``: the bytes of each cell of a graph file.
+
+    ``nodes``: profile, lat_e4, lon_e4, node_idx, lat, lon, edge_offset;
+    ``edges``: as ``indexed_edges`` gives them.  A cell is one group, and its
+    limits are the format's (65535 nodes and edges).
+    """
+    cell = ["profile", "lat_e4", "lon_e4"]
+
+    def run(n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+        if not len(n):
+            return pd.DataFrame([], columns=[*cell, "nodes", "edges", "body"])
+        key = n.iloc[0]
+        if max(len(n), len(e)) > 0xFFFF:
+            raise ValueError(f"cell {key.lat_e4}_{key.lon_e4} is too large for the file format")
+        n, e = n.sort_values("node_idx"), e.sort_values(["src_idx", "dst_idx", "cost", "dist_m", "flags"])
+        body = cell_body(list(zip(n.lat, n.lon, n.edge_offset.astype(int), strict=True)), list(zip(*(e[c].astype(int) for c in ("dst_idx", "cost", "dist_m", "flags")), strict=True)))
+        return pd.DataFrame([(key.profile, key.lat_e4, key.lon_e4, len(n), len(e), body)], columns=[*cell, "nodes", "edges", "body"])
+
+    # Both sides come from one graph, so the edges' keys get names of their own.
+    e = edges.withColumnsRenamed({k: f"of_{k}" for k in cell})
+    both = nodes.select(*cell, "node_idx", "lat", "lon", "edge_offset").groupBy(*cell).cogroup(e.groupBy(*[f"of_{k}" for k in cell]))
+    return both.applyInPandas(run, "profile string, lat_e4 long, lon_e4 long, nodes long, edges long, body binary")
+
+
+def graph_files(cells: DataFrame) -> DataFrame:
+    """``profile, file``: one graph file a profile, from the bytes and counts of its cells.
+
+    The format asks for one file a profile, so a profile's cells meet in one
+    group; use the tables of ``write_graph_tables`` where that is too much.
+    """
+
+    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        cells = [(r.lat_e4, r.lon_e4, r.nodes, r.edges, bytes(r.body)) for r in pdf.itertuples()]
+        return pd.DataFrame([(key[0], graph_file(cells))], columns=["profile", "file"])
+
+    return cells.groupBy("profile").applyInPandas(run, "profile string, file binary")
+
+
+def read_graph_files(files: DataFrame, box: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """Edges ``profile, lat_e4, lon_e4, src_idx, dst_idx, cost, dist_m, flags`` of graph files, of the cells in ``box`` only.
+
+    A node's edges end where those of the next node begin, and the last node's
+    where the cell's end.
+    """
+
+    def run(batches):
+        for pdf in batches:
+            out = []
+            for profile, data in zip(pdf["profile"], map(bytes, pdf["file"]), strict=True):
+                for lat, lon, first, nodes, edges in parse_graph(data, box):
+                    ends = [*(n[2] for n in nodes[1:]), len(edges)]
+                    for k, (n, end) in enumerate(zip(nodes, ends, strict=True)):
+                        out += [(profile, lat, lon, first + k, d, c, m, f) for d, c, m, f, _ in edges[n[2] : end]]
+            yield pd.DataFrame(out, columns=["profile", "lat_e4", "lon_e4", "src_idx", "dst_idx", "cost", "dist_m", "flags"])
+
+    return files.select("profile", "file").mapInPandas(run, "profile string, lat_e4 long, lon_e4 long, src_idx long, dst_idx long, cost long, dist_m long, flags long")
+
+
 def write_graph_tables(nodes: DataFrame, edges: DataFrame, folder: str) -> None:
     """The graph as Parquet, partitioned by profile and cell, so that a request reads its cells only."""
     for name, df in (("nodes", nodes), ("edges", edges)):
