@@ -53,18 +53,20 @@ def source_targets(totals: DataFrame, *, weights: tuple[float, ...] = (5.0, 2.0,
     return t.select("source", "source_size", F.coalesce(F.least("cap", F.col("level") * F.col("weight")), F.col("cap")).alias("target"))
 
 
+_WIDE = "CAST({} AS DECIMAL(19, 0))"
+
+
 def block_start(block: str) -> Column:
-    """First word of a block: of L words in n blocks the first L mod n have one word more.
+    """First word of a block: block i of n holds the words from floor(i * L / n) on.
 
-    No product exceeds L, whatever the size of the source.
+    Products are decimals of 38 digits, so sources of any size fit.
     """
-    return F.expr(f"({block}) * (source_size DIV blocks) + least({block}, source_size % blocks)")
+    return F.expr(f"({_WIDE.format(block)} * {_WIDE.format('source_size')}) DIV {_WIDE.format('blocks')}").cast("long")
 
 
 def block_of(word: str) -> Column:
     """The block that holds a word."""
-    longer = "(source_size % blocks) * (source_size DIV blocks + 1)"
-    return F.expr(f"CASE WHEN {word} < {longer} THEN ({word}) DIV (source_size DIV blocks + 1) ELSE source_size % blocks + ({word} - {longer}) DIV (source_size DIV blocks) END")
+    return F.expr(f"({_WIDE.format(f'{word} + 1')} * {_WIDE.format('blocks')} - 1) DIV {_WIDE.format('source_size')}").cast("long")
 
 
 def schedule(sources: DataFrame, slots: int, ws: Workspace) -> DataFrame:
