@@ -349,6 +349,10 @@ def test_area_resize_is_the_exact_mean():
     assert np.allclose(media.area_resize(a, 8, 9), want)
 
 
+def test_text_media_of_an_empty_table(empty):
+    assert media.text_media(empty).collect() == []
+
+
 def test_text_media(docs, odd):
     import hashlib
 
@@ -432,6 +436,15 @@ def test_embedding_forest(spark):
     assert embedding_forest.embedding_near_duplicates(d.limit(0)).collect() == []
 
 
+def test_embedding_rows_that_repeat(spark):
+    """Rows are vectors of their own, also with equal or missing ids; copies are links, not one vector."""
+    v, w, u = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0], [0.0, 0.0, 1.0]
+    rows = [(5, v), (5, v), (None, v), (2, w), (2, u), (None, u), (9, [2.0, 0.1, 0.0]), (7, [0.0, -1.0, 0.0])]
+    d = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("n_links", F.lit(8)).withColumn("label", F.lit(1))
+    got = Counter((r["vec_id"], r["n_links"], r["component_id"]) for r in embedding_forest.embedding_near_duplicates(d).collect())
+    assert got == Counter({(5, 3, 5): 2, (None, 3, 5): 1, (2, 0, 2): 1, (2, 1, 2): 1, (None, 1, 2): 1, (9, 3, 5): 1, (7, 0, 7): 1})
+
+
 def test_large_leaves_are_compared_in_blocks(spark, monkeypatch):
     monkeypatch.setattr(embedding_forest, "BLOCK", 64)
     monkeypatch.setattr(embedding_forest, "LEAF", 10**9)
