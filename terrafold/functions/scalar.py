@@ -32,18 +32,18 @@ def zigzag_decode(z) -> Column:
     return F.shiftrightunsigned(z, 1).bitwiseXOR(-z.bitwiseAND(F.lit(1)))
 
 
-def varint_length(v) -> Column:
-    """Bytes of the LEB128 form of a non-negative long."""
+def varint_length(v, most: int = 9) -> Column:
+    """Bytes of the LEB128 form of a non-negative long, ``most`` where it has more; null for null."""
     v = _c(v).cast("long")
-    out = F.lit(9)
-    for k in range(8, 0, -1):
+    out = F.when(v.isNotNull(), most)
+    for k in range(most - 1, 0, -1):
         out = F.when(v < (1 << (7 * k)), k).otherwise(out)
     return out
 
 
-def varint_hex(v) -> Column:
-    """LEB128 bytes in upper-case hex."""
-    v, n = _c(v).cast("long"), varint_length(v)
+def varint_hex(v, most: int = 9) -> Column:
+    """LEB128 bytes in upper-case hex, the first ``most`` of them closed by the last."""
+    v, n = _c(v).cast("long"), varint_length(v, most)
     byte = lambda i: F.call_function("shiftrightunsigned", v, (i * 7).cast("int")).bitwiseAND(F.lit(127)) + F.when(i < n - 1, 128).otherwise(0)
     return F.array_join(F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.lpad(F.hex(byte(i)), 2, "0")), "")
 

@@ -125,3 +125,21 @@ def test_route_searches(spark, sf_dir):
             (x0, y0), (x1, y1) = places[a], places[b]
             metres += math.hypot((x1 - x0) * 111319.0 * math.cos(math.radians((y0 + y1) / 2)), (y1 - y0) * 111319.0)
         assert abs(lengths[r["request_id"]] - metres) <= 0.06
+
+
+def test_varints_beyond_six_bytes(spark, tmp_path):
+    """Null and large ids, as many times the smallest tables have them, against the query's SQL."""
+    import duckdb
+
+    from pyspark.sql import functions as F
+
+    from terrafold.functions import scalar as S
+
+    con = duckdb.connect()
+    ids = "(VALUES (NULL), (0), (70086), (70087), (792656), (792657), (5999999), (90000000)) AS t(event_id)"
+    con.sql(f"COPY (SELECT CAST(event_id AS BIGINT) AS event_id FROM {ids}) TO '{tmp_path}/events.parquet' (FORMAT parquet)")
+    con.sql(f"CREATE VIEW events AS SELECT * FROM '{tmp_path}/events.parquet'")
+    compare(spark, con, str(tmp_path), catalog.QUERIES["varint_length"], catalog.ORACLE_SQL["varint_length"])
+    # The function itself is not bounded by the query's six bytes.
+    row = spark.range(1).select(S.varint_length(F.lit(1 << 42)).alias("n"), S.varint_hex(F.lit(1 << 42)).alias("hex")).first()
+    assert (row["n"], row["hex"]) == (7, "80808080808001")
