@@ -143,3 +143,45 @@ def test_varints_beyond_six_bytes(spark, tmp_path):
     # The function itself is not bounded by the query's six bytes.
     row = spark.range(1).select(S.varint_length(F.lit(1 << 42)).alias("n"), S.varint_hex(F.lit(1 << 42)).alias("hex")).first()
     assert (row["n"], row["hex"]) == (7, "80808080808001")
+
+
+def joined_rows(df):
+    """Rows that the joins of a collected frame have put out."""
+    rows, todo = 0, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name == "AdaptiveSparkPlan":
+            todo.append(node.executedPlan())
+        elif name.endswith("QueryStage"):
+            todo.append(node.plan())
+        else:
+            rows += node.metrics().apply("numOutputRows").value() if "Join" in name else 0
+            todo += [node.children().apply(i) for i in range(node.children().size())]
+    return rows
+
+
+def test_nearest_nodes_of_dense_cells(spark):
+    """Dense, sparse and repeated nodes against brute force, with fewer pairs than points times nodes."""
+    import numpy as np
+    import pandas as pd
+
+    from terrafold.operators import route
+
+    rng = np.random.default_rng(4)
+    at = np.concatenate([rng.uniform((1.40, 42.40), (1.45, 42.45), (2500, 2)), rng.normal((1.7, 42.6), 1e-4, (500, 2)), rng.uniform((-1, -1), (1, 1), (60, 2)), rng.uniform((9, 69.9), (9.2, 70), (40, 2))])
+    at = np.concatenate([at, at[:200], [[3.0, 10.0], [3.0, 10.002], [3.0, 10.002]]])
+    ask = np.concatenate([rng.uniform((1.39, 42.39), (1.46, 42.46), (1500, 2)), rng.normal((1.7, 42.6), 3e-2, (100, 2)), rng.uniform((-1, -1), (1, 1), (80, 2)), rng.uniform((9, 69.9), (9.2, 70), (40, 2)), at[:50], [[3.0, 10.001], [100.0, 80.0]]])
+    ids = rng.permutation(len(at))
+    nodes = spark.createDataFrame(pd.DataFrame({"node_id": ids, "lon": at[:, 0], "lat": at[:, 1]}))
+    points = spark.createDataFrame(pd.DataFrame({"request_id": range(len(ask)), "lon": ask[:, 0], "lat": ask[:, 1]}))
+    cells = lambda v: np.floor(v * 10000.0 / 500)
+    want = {}
+    for i, (lon, lat) in enumerate(ask):
+        near = np.flatnonzero((abs(cells(at[:, 0]) - cells(lon)) <= 1) & (abs(cells(at[:, 1]) - cells(lat)) <= 1))
+        if len(near):
+            dy, dx = (at[near, 1] - lat) * 111319.0, (at[near, 0] - lon) * 111319.0 * np.cos(np.radians((at[near, 1] + lat) / 2))
+            want[i] = min(zip(np.round(np.sqrt(dx * dx + dy * dy), 6), ids[near]))[1]
+    found = route.nearest_nodes(points, nodes, "request_id")
+    assert {r["request_id"]: r["node_id"] for r in found.collect()} == want
+    assert joined_rows(found) < 0.25 * len(ask) * len(at)
