@@ -185,3 +185,41 @@ def test_nearest_nodes_of_dense_cells(spark):
     found = route.nearest_nodes(points, nodes, "request_id")
     assert {r["request_id"]: r["node_id"] for r in found.collect()} == want
     assert joined_rows(found) < 0.25 * len(ask) * len(at)
+
+
+def test_searches_from_both_ends():
+    """Costs from both ends against one way, with free, parallel and one-way edges and cells left out, in little memory."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from terrafold.operators import route
+
+    def table(rng, nodes, n, most):
+        src, dst = rng.integers(0, nodes, (2, n)) * 7
+        return pa.table({"src_id": src, "dst_id": dst, "cost": rng.integers(0, most, n), "dist_m": rng.integers(0, 99, n).astype(np.int32), "lat_e4": src % 5 * 500, "lon_e4": src % 3 * 500})
+
+    rng, reached = np.random.default_rng(8), 0
+    for k in range(300):
+        t = table(rng, 40, 20 + k % 100, 3 + k)
+        roads, edges = route._Roads(t), t.to_pylist()
+        box = {"lat_lo": 0, "lat_hi": 500 * int(rng.integers(2, 5)), "lon_lo": 0, "lon_hi": 500 * int(rng.integers(1, 3))}
+        row = box | {"source": int(rng.integers(0, 41)) * 7, "target": int(rng.integers(0, 41)) * 7}
+        one, both = (route._search(roads, row, None, x) for x in (False, True))
+        assert one[0] == both[0]
+        reached += one[0] is not None
+        for cost, metres, _, path in (one, both):
+            legs = [min((e["cost"], e["dist_m"]) for e in edges if (e["src_id"], e["dst_id"]) == ab and e["lat_e4"] <= box["lat_hi"] and e["lon_e4"] <= box["lon_hi"]) for ab in zip(path, path[1:])]
+            assert (cost or 0, metres) == (sum(c for c, _ in legs), sum(m for _, m in legs))
+            assert (path[:1], path[-1:]) == (([], []) if cost is None else ([row["source"]], [row["target"]]))
+    assert reached > 30
+    t = table(rng, 20000, 300000, 5000)
+    tracemalloc.start()
+    roads = route._Roads(t)
+    kept, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert kept < 50 * 300000 and peak < 120 * 300000
+    row = {"lat_lo": 0, "lat_hi": 2500, "lon_lo": 0, "lon_hi": 1500, "source": int(roads.nodes[5]), "target": int(roads.nodes[9000])}
+    one, both = (route._search(roads, row, None, x) for x in (False, True))
+    assert one[0] == both[0] is not None and both[2] < 0.2 * one[2]
