@@ -33,25 +33,38 @@ def node_references(points: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
     return points.groupBy(*keys, "node_id").agg(F.count("*").alias("refs"))
 
 
-def segments(ways: DataFrame, points: DataFrame) -> DataFrame:
+def route_points(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame) -> DataFrame:
+    """``way_id, pos, node_id, lon, lat, shared``: places of routable ways' references.
+
+    ``shared`` has a bit for each of ``PROFILES`` whose ways visit the node
+    twice or more.  References meet nodes once for all profiles.
+    """
+    bit = lambda of: F.element_at(F.create_map(*[x for k, p in enumerate(PROFILES) for x in (F.lit(p), F.lit(1 << k))]), of)
+    masks = ways.groupBy("way_id").agg(F.bit_or(bit(F.col("profile"))).alias("may"))
+    p = way_nodes.join(masks, "way_id").select("way_id", "pos", "node_id", "may").join(nodes.select("node_id", "lon", "lat"), "node_id")
+    one = W.partitionBy("node_id")
+    shared = lambda k: F.when(F.sum(F.col("may").bitwiseAND(1 << k)).over(one) >= 2 << k, 1 << k).otherwise(0)
+    p = p.select("way_id", "pos", "node_id", "lon", "lat", *[shared(k).alias(f"s{k}") for k in range(len(PROFILES))])
+    return p.select("way_id", "pos", "node_id", "lon", "lat", sum((F.col(f"s{k}") for k in range(1, len(PROFILES))), F.col("s0")).alias("shared"))
+
+
+def segments(ways: DataFrame, way_nodes: DataFrame, nodes: DataFrame) -> DataFrame:
     """Way pieces between vertices (ends and shared nodes), with their length.
 
     A window over one way's points finds the last vertex; ways are bounded, so
-    no partition of the window is.
+    no partition of the window is.  Points are dealt out by way once; profiles
+    share them until then.
     """
-    p = points.join(ways.select("profile", "way_id"), "way_id")
-    refs = node_references(p, ("profile",))
-    p = p.join(refs, ["profile", "node_id"])
-    one = W.partitionBy("profile", "way_id").orderBy("pos")
+    p = route_points(ways, way_nodes, nodes).join(ways.select("way_id", "profile", "hw_class", "oneway", "maxspeed"), "way_id")
+    one = W.partitionBy("way_id", "profile").orderBy("pos")
     p = p.withColumn("step", F.when(F.lag("pos").over(one).isNotNull(), S.haversine_m(F.lag("lat").over(one), F.lag("lon").over(one), F.col("lat"), F.col("lon"))).otherwise(0.0))
-    p = p.withColumn("vertex", (F.col("refs") >= 2) | F.lead("pos").over(one).isNull() | F.lag("pos").over(one).isNull())
+    bit = F.element_at(F.create_map(*[x for k, name in enumerate(PROFILES) for x in (F.lit(name), F.lit(1 << k))]), F.col("profile"))
+    p = p.withColumn("vertex", (F.col("shared").bitwiseAND(bit) > 0) | F.lead("pos").over(one).isNull() | F.lag("pos").over(one).isNull())
     p = p.withColumn("seg", F.coalesce(F.sum(F.col("vertex").cast("int")).over(one.rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    p = p.withColumn("dist", F.sum("step").over(W.partitionBy("way_id", "profile", "seg").orderBy("pos")))
     ends = p.filter("vertex")
-    ends = ends.withColumn("from_id", F.lag("node_id").over(one)).withColumn("from_lon", F.lag("lon").over(one)).withColumn("from_lat", F.lag("lat").over(one))
-    length = p.groupBy("profile", "way_id", "seg").agg(F.sum("step").alias("dist"))
-    s = ends.filter("from_id IS NOT NULL").join(length, ["profile", "way_id", "seg"])
-    s = s.select("profile", "way_id", F.col("seg").cast("long").alias("seg"), "from_id", "from_lon", "from_lat", F.col("node_id").alias("to_id"), F.col("lon").alias("to_lon"), F.col("lat").alias("to_lat"), "dist")
-    return s.join(ways.select("profile", "way_id", "hw_class", "oneway", "maxspeed"), ["profile", "way_id"])
+    ends = ends.withColumn("from_id", F.lag("node_id").over(one)).withColumn("from_lon", F.lag("lon").over(one)).withColumn("from_lat", F.lag("lat").over(one)).filter("from_id IS NOT NULL")
+    return ends.select("profile", "way_id", F.col("seg").cast("long").alias("seg"), "from_id", "from_lon", "from_lat", F.col("node_id").alias("to_id"), F.col("lon").alias("to_lon"), F.col("lat").alias("to_lat"), "dist", "hw_class", "oneway", "maxspeed")
 
 
 def directed(segs: DataFrame) -> DataFrame:
@@ -112,9 +125,13 @@ def index_nodes(nodes: DataFrame) -> DataFrame:
 def edge_offsets(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``edge_offset``: edges of earlier nodes of the cell, by node index."""
     degree = edges.groupBy("profile", F.col("src_id").alias("node_id")).agg(F.count("*").alias("degree"))
-    d = nodes.join(degree, ["profile", "node_id"], "left").withColumn("degree", F.coalesce("degree", F.lit(0)))
+    return offsets(nodes.join(degree, ["profile", "node_id"], "left").withColumn("degree", F.coalesce("degree", F.lit(0))))
+
+
+def offsets(nodes: DataFrame) -> DataFrame:
+    """``edge_offset`` of nodes that have their ``degree``."""
     before = W.partitionBy("profile", "lat_e4", "lon_e4").orderBy("node_idx").rowsBetween(W.unboundedPreceding, -1)
-    return d.withColumn("edge_offset", F.coalesce(F.sum("degree").over(before), F.lit(0)).cast("long"))
+    return nodes.withColumn("edge_offset", F.coalesce(F.sum("degree").over(before), F.lit(0)).cast("long"))
 
 
 def indexed_edges(nodes: DataFrame, edges: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import classify as C
 from ..operators import graph, route
-from ..session import cut
+from ..session import Stage
 from ..sources import packs
 from ..sources.fixtures import table, with_sql
 from . import features as features_plans
@@ -48,7 +48,7 @@ def _ways(spark, sf_dir):
 
 
 def _segments(spark, sf_dir):
-    return graph.segments(_ways(spark, sf_dir), features_plans.points(spark, sf_dir))
+    return graph.segments(_ways(spark, sf_dir), table(spark, sf_dir, "fx_way_nodes"), table(spark, sf_dir, "fx_nodes"))
 
 
 def _edges(spark, sf_dir):
@@ -137,11 +137,35 @@ def graph_cell_index(spark, sf_dir):
 
 @query(f"{_GRAPH}, {_NODES}, {_INDEXED} SELECT * FROM xedges")
 def graph_file_edges(spark, sf_dir):
-    """Edges read back from the graph files that the tables were written to."""
-    e = _edges(spark, sf_dir)
-    n = cut(_placed_nodes(spark, sf_dir))
-    offsets = graph.edge_offsets(n, e).select("profile", "lat_e4", "lon_e4", "node_idx", "lat", "lon", "edge_offset")
-    return packs.read_graph_files(packs.graph_files(packs.graph_cells(offsets, graph.indexed_edges(n, e))))
+    """Edges read back from the graph files that the tables were written to.
+
+    Both directions of a piece share a row until the files are made, and each
+    step is written before the next, so that its shuffle files are gone by then.
+    """
+    stage = Stage(spark)
+    ends = [F.col(f"{a}_{k}").alias(f"{b}_{k}") for a, b in (("from", "src"), ("to", "dst")) for k in ("id", "lon", "lat")]
+    both = graph.costed(_segments(spark, sf_dir).select("profile", *ends, "dist", "hw_class", "oneway", "maxspeed"))
+    both = stage.save(both.select("profile", "src_id", "dst_id", "cost", "dist_m", F.col("hw_class").cast("int").alias("hw_class"), F.col("oneway").cast("int").alias("oneway")), "both")
+
+    # Nodes of the graph with the edges that start at them.
+    used = both.select("profile", F.explode(F.array(F.struct(F.col("src_id").alias("node_id"), F.lit(1).alias("n")), F.struct(F.col("dst_id").alias("node_id"), (F.col("oneway") != 1).cast("int").alias("n")))).alias("u"))
+    degree = used.groupBy("profile", "u.node_id").agg(F.sum("u.n").alias("degree"))
+    n = table(spark, sf_dir, "fx_nodes").withColumn("lat_e4", S.cell_e4("lat")).withColumn("lon_e4", S.cell_e4("lon"))
+    n = stage.save(graph.index_nodes(degree.join(n, "node_id")), "nodes")
+    n = stage.save(packs.cell_parts(graph.offsets(n)), "parts")
+
+    # Their numbers for the nodes at both ends.
+    end = lambda side, *more: n.select("profile", F.col("node_id").alias(f"{side}_id"), F.col("node_idx").alias(f"{side}_idx"), F.col("part").alias(f"{side}_part"))
+    e = stage.save(both.join(end("src"), ["profile", "src_id"]).drop("src_id"), "src")
+    stage.drop("both")
+    e = stage.save(e.join(end("dst"), ["profile", "dst_id"]).drop("dst_id"), "dst")
+    stage.drop("src")
+    go = lambda a, b, flag: F.struct(F.col(f"{a}_part").alias("part"), F.col(f"{a}_idx").alias("src_idx"), F.col(f"{b}_idx").alias("dst_idx"), (F.col("hw_class") * 2 + (F.col("oneway") == flag).cast("int")).alias("flags"))
+    ways = F.filter(F.array(F.struct(go("src", "dst", 1).alias("d"), F.lit(True).alias("may")), F.struct(go("dst", "src", 2).alias("d"), (F.col("oneway") != 1).alias("may"))), lambda x: x["may"])
+    e = e.withColumn("w", F.explode(ways)).select("profile", "w.d.*", "cost", "dist_m")
+    cells = stage.save(packs.graph_cells(n, e), "cells")
+    stage.drop("dst")
+    return packs.read_graph_pieces(packs.graph_pieces(cells))
 
 
 @query(with_sql("fx_ways") + f", {_RWAYS} SELECT profile, r.way_id, coalesce(w.ref, '') AS name FROM rways r JOIN fx_ways w ON w.way_id = r.way_id")

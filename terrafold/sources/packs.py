@@ -8,12 +8,21 @@ source, so they may lie in any store.
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window as W
 
 GRAPH_HEADER, GRAPH_CELL, GRAPH_NODE, GRAPH_EDGE = struct.Struct("<4sII5I"), struct.Struct("<iiIHIH"), struct.Struct("<ffI"), struct.Struct("<IIHBB")
+#: Nodes and edges in arrays of the same bytes.
+NODES = np.dtype([("lat", "<f4"), ("lon", "<f4"), ("offset", "<u4")])
+EDGES = np.dtype([("dst", "<u4"), ("cost", "<u4"), ("dist", "<u2"), ("flags", "u1"), ("zero", "u1")])
+#: Most nodes, and edges, of an entry of the index.
+ENTRY = 0xFFFF
 
 
 def build_pack(z: int, tiles: list[tuple[int, int, bytes]], palette: list[int]) -> bytes:
@@ -81,17 +90,36 @@ def read_packs(spark: SparkSession, folder: str) -> DataFrame:
     return files.select("content").mapInPandas(run, "z int, x long, y long, offset long, size long, blob binary")
 
 
+def cell_entries(first: int, nodes: np.ndarray, edges: np.ndarray) -> Iterator[tuple[int, int, int, bytes]]:
+    """Entries (first node index, nodes, edges, body) of a cell, or of a run of its nodes.
+
+    An entry holds at most ``ENTRY`` nodes and edges.  A larger cell has
+    several, with its coordinates each; a node with more edges than that comes
+    again, with the rest of them.  ``offset`` counts from the first edge given.
+    """
+    ends, at = np.append(nodes["offset"][1:], len(edges)).astype(np.int64), 0
+    while at < len(nodes):
+        lo = int(nodes["offset"][at])
+        to = min(int(np.searchsorted(ends, lo + ENTRY, side="right")), at + ENTRY)
+        part = nodes[at : max(to, at + 1)].copy()
+        part["offset"] -= lo
+        hi = int(ends[at + len(part) - 1])
+        for k in range(lo, max(hi, lo + 1), ENTRY):
+            some = edges[k : min(k + ENTRY, hi)]
+            yield first + at, len(part), len(some), part.tobytes() + some.tobytes()
+        at += len(part)
+
+
 def build_graph(cells: list[tuple[int, int, list, list]]) -> bytes:
     """Graph file of cells (lat_e4, lon_e4, nodes (lat, lon, edge_offset), edges (dst, cost, dist, flags, 0)).
 
-    Cells stand in the order of their unsigned coordinates.  A cell holds at
-    most 65535 nodes and edges.
+    Cells stand in the order of their unsigned coordinates; cells of more than
+    65535 nodes or edges have several entries in the index.
     """
-    made = []
-    for lat, lon, nodes, edges in cells:
-        if max(len(nodes), len(edges)) > 0xFFFF:
-            raise ValueError(f"cell {lat}_{lon} is too large for the file format")
-        made.append((lat, lon, len(nodes), len(edges), cell_body(nodes, [e[:4] for e in edges])))
+    made, first = [], 0
+    for lat, lon, nodes, edges in sorted(cells, key=lambda c: (c[0] & 0xFFFFFFFF, c[1] & 0xFFFFFFFF)):
+        made += [(lat, lon, *e) for e in cell_entries(first, np.array(nodes, NODES), np.array(edges, EDGES))]
+        first += len(nodes)
     return graph_file(made)
 
 
@@ -113,78 +141,148 @@ def parse_graph(data: bytes, box: tuple[int, int, int, int] | None = None) -> li
     return out
 
 
-def cell_body(nodes: list[tuple], edges: list[tuple]) -> bytes:
-    """Bytes of a cell: nodes (lat, lon, edge_offset), then edges (dst, cost, dist, flags)."""
-    return b"".join(GRAPH_NODE.pack(*n) for n in nodes) + b"".join(GRAPH_EDGE.pack(*e, 0) for e in edges)
+def graph_head(entries: list[tuple[int, int, int, int, int, int]]) -> bytes:
+    """Header and index of entries (lat_e4, lon_e4, first, nodes, offset, edges)."""
+    return GRAPH_HEADER.pack(b"ROUT", 500, len(entries), 0, 0, 0, 0, 0) + b"".join(GRAPH_CELL.pack(*e) for e in entries)
 
 
-def graph_file(cells: list[tuple]) -> bytes:
-    """Graph file of cells (lat_e4, lon_e4, nodes, edges, body), in unsigned order."""
-    index, body, before = bytearray(), bytearray(), 0
-    for lat, lon, nodes, edges, data in sorted(cells, key=lambda c: (c[0] & 0xFFFFFFFF, c[1] & 0xFFFFFFFF)):
-        index += GRAPH_CELL.pack(lat, lon, before, nodes, len(body), edges)
-        body += data
-        before += nodes
-    return GRAPH_HEADER.pack(b"ROUT", 500, len(cells), 0, 0, 0, 0, 0) + bytes(index + body)
+def graph_file(entries: list[tuple]) -> bytes:
+    """Graph file of entries (lat_e4, lon_e4, first, nodes, edges, body) in their order."""
+    index, at = [], 0
+    for lat, lon, first, nodes, edges, body in entries:
+        index.append((lat, lon, first, nodes, at, edges))
+        at += len(body)
+    return graph_head(index) + b"".join(e[5] for e in entries)
 
 
-def graph_cells(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``profile, lat_e4, lon_e4, nodes, edges, body``: the bytes of each cell of a graph file.
+#: Nodes and edges of a cell that are made into bytes together.
+PART = 1 << 15
 
-    ``nodes``: profile, lat_e4, lon_e4, node_idx, lat, lon, edge_offset;
-    ``edges``: as ``indexed_edges`` gives them.  A cell is one group, and its
-    limits are the format's (65535 nodes and edges).
+
+def cell_parts(nodes: DataFrame) -> DataFrame:
+    """Nodes with ``part``, the first node index of their run: runs of about ``PART`` nodes and edges inside cells.
+
+    ``nodes``: profile, lat_e4, lon_e4, node_idx, edge_offset.
     """
     cell = ["profile", "lat_e4", "lon_e4"]
+    run = F.floor((F.col("edge_offset") + F.col("node_idx")) / PART)
+    return nodes.withColumn("run", run).withColumn("part", F.min("node_idx").over(W.partitionBy(*cell, "run"))).drop("run")
+
+
+_CELLS = pa.schema([("profile", pa.string()), ("lat_e4", pa.int64()), ("lon_e4", pa.int64()), ("first", pa.int64()), ("again", pa.int64()), ("nodes", pa.int64()), ("edges", pa.int64()), ("body", pa.binary())])
+
 
-    def run(n: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
+def graph_cells(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``profile, lat_e4, lon_e4, first, again, nodes, edges, body``: the entries of a graph file.
+
+    ``nodes``: profile, part, lat_e4, lon_e4, node_idx, lat, lon; ``edges``:
+    profile, part (of the start), src_idx, dst_idx, cost, dist_m, flags.  A
+    group is a run of ``cell_parts``, so a cell of any size is made in pieces.
+    """
+
+    def run(n: pa.Table, e: pa.Table) -> pa.Table:
         if not len(n):
-            return pd.DataFrame([], columns=[*cell, "nodes", "edges", "body"])
-        key = n.iloc[0]
-        if max(len(n), len(e)) > 0xFFFF:
-            raise ValueError(f"cell {key.lat_e4}_{key.lon_e4} is too large for the file format")
-        n, e = n.sort_values("node_idx"), e.sort_values(["src_idx", "dst_idx", "cost", "dist_m", "flags"])
-        body = cell_body(list(zip(n.lat, n.lon, n.edge_offset.astype(int), strict=True)), list(zip(*(e[c].astype(int) for c in ("dst_idx", "cost", "dist_m", "flags")), strict=True)))
-        return pd.DataFrame([(key.profile, key.lat_e4, key.lon_e4, len(n), len(e), body)], columns=[*cell, "nodes", "edges", "body"])
+            return _CELLS.empty_table()
+        n, c = n.sort_by("node_idx"), {k: e[k].to_numpy() for k in ("src_idx", "dst_idx", "cost", "dist_m", "flags")}
+        order = np.lexsort((c["flags"], c["dist_m"], c["cost"], c["dst_idx"], c["src_idx"]))
+        made, part = np.zeros(len(order), EDGES), np.zeros(len(n), NODES)
+        for name, k in (("dst", "dst_idx"), ("cost", "cost"), ("dist", "dist_m"), ("flags", "flags")):
+            if len(order) and not 0 <= c[k].min() <= c[k].max() <= np.iinfo(EDGES[name]).max:
+                raise ValueError(f"{k} does not fit the file format")
+            made[name] = c[k][order]
+        part["lat"], part["lon"] = n["lat"].to_numpy(), n["lon"].to_numpy()
+        part["offset"] = np.searchsorted(c["src_idx"][order], n["node_idx"].to_numpy())
+        key = [n[k][0].as_py() for k in ("profile", "lat_e4", "lon_e4")]
+        rows = [(*key, first, k, *more) for k, (first, *more) in enumerate(cell_entries(n["node_idx"][0].as_py(), part, made))]
+        return pa.table([pa.array(x, f.type) for x, f in zip(zip(*rows, strict=True), _CELLS, strict=True)], schema=_CELLS)
 
     # Both sides come from one graph, so the edges' keys get names of their own.
-    e = edges.withColumnsRenamed({k: f"of_{k}" for k in cell})
-    both = nodes.select(*cell, "node_idx", "lat", "lon", "edge_offset").groupBy(*cell).cogroup(e.groupBy(*[f"of_{k}" for k in cell]))
-    return both.applyInPandas(run, "profile string, lat_e4 long, lon_e4 long, nodes long, edges long, body binary")
+    e = edges.withColumnsRenamed({"profile": "of", "part": "of_part"})
+    both = nodes.select("profile", "part", "lat_e4", "lon_e4", "node_idx", "lat", "lon").groupBy("profile", "part").cogroup(e.groupBy("of", "of_part"))
+    return both.applyInArrow(run, "profile string, lat_e4 long, lon_e4 long, first long, again long, nodes long, edges long, body binary")
 
 
-def graph_files(cells: DataFrame) -> DataFrame:
-    """``profile, file``: one graph file a profile, from the bytes and counts of its cells.
+def graph_pieces(cells: DataFrame) -> DataFrame:
+    """``profile, at, piece``: the graph file of each profile cut at its entries; ``at`` is the piece's place in the file.
 
-    The format asks for one file a profile, so a profile's cells meet in one
-    group; use the tables of ``write_graph_tables`` where that is too much.
+    The first piece is the header with the index; only the table of entries,
+    one for some ten thousand edges, is ordered as a whole.
     """
+    key = ["profile", "first", "again"]
+    order = W.partitionBy("profile").orderBy("first", "again").rowsBetween(W.unboundedPreceding, -1)
+    size = F.col("nodes") * NODES.itemsize + F.col("edges") * EDGES.itemsize
+    index = cells.drop("body").withColumn("at", F.coalesce(F.sum(size).over(order), F.lit(0)).cast("long"))
+    start = GRAPH_HEADER.size + GRAPH_CELL.size * F.count("*").over(W.partitionBy("profile"))
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
-        cells = [(r.lat_e4, r.lon_e4, r.nodes, r.edges, bytes(r.body)) for r in pdf.itertuples()]
-        return pd.DataFrame([(key[0], graph_file(cells))], columns=["profile", "file"])
+    def head(key, pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["first", "again"])
+        if pdf["at"].max() > 0xFFFFFFFF:
+            raise ValueError(f"the graph of {key[0]} is too large for the file format")
+        entries = zip(*(pdf[c].tolist() for c in ("lat_e4", "lon_e4", "first", "nodes", "at", "edges")), strict=True)
+        return pd.DataFrame([(key[0], 0, graph_head(list(entries)))], columns=["profile", "at", "piece"])
 
-    return cells.groupBy("profile").applyInPandas(run, "profile string, file binary")
+    heads = index.groupBy("profile").applyInPandas(head, "profile string, at long, piece binary")
+    places = index.select(*key, (F.col("at") + start).alias("at"))
+    bodies = cells.select(*key, F.col("body").alias("piece")).join(F.broadcast(places), key).select("profile", "at", "piece")
+    return heads.unionByName(bodies)
 
 
-def read_graph_files(files: DataFrame, box: tuple[int, int, int, int] | None = None) -> DataFrame:
-    """Edges ``profile, lat_e4, lon_e4, src_idx, dst_idx, cost, dist_m, flags`` of graph files, of the cells in ``box`` only.
+def graph_files(cells: DataFrame) -> DataFrame:
+    """``profile, file``: the pieces of each profile in one value, for graphs of up to some hundred MB."""
+    pieces = graph_pieces(cells)
+    return pieces.groupBy("profile").applyInPandas(lambda key, pdf: pd.DataFrame([(key[0], b"".join(pdf.sort_values("at")["piece"]))], columns=["profile", "file"]), "profile string, file binary")
 
-    A node's edges end where those of the next node begin, and the last node's
-    where the cell's end.
-    """
+
+_READ = "profile string, lat_e4 long, lon_e4 long, src_idx long, dst_idx long, cost long, dist_m long, flags long"
+
+
+def _entry_rows(profile: str, lat: int, lon: int, first: int, n: int, m: int, data: bytes, at: int) -> pa.RecordBatch:
+    """Edges of an entry.  A node's end where those of the next node begin, and the last node's where the entry's end."""
+    nodes = np.frombuffer(data, NODES, n, at)
+    edges = np.frombuffer(data, EDGES, m, at + n * NODES.itemsize)
+    src = first + np.repeat(np.arange(n), np.diff(np.append(nodes["offset"], m).astype(np.int64)))
+    same = lambda v: pa.array(np.full(m, v, np.int64))
+    numbers = [src, *(edges[k].astype(np.int64) for k in ("dst", "cost", "dist", "flags"))]
+    return pa.record_batch([pa.repeat(pa.scalar(profile, pa.string()), m), same(lat), same(lon), *map(pa.array, numbers)], names=[f.split()[0] for f in _READ.split(", ")])
+
+
+def _index_of(data: bytes, box: tuple[int, int, int, int] | None) -> list[tuple[int, int, int, int, int, int]]:
+    """(lat, lon, first, nodes, place in the file, edges) of the entries in ``box``."""
+    magic, _, count = GRAPH_HEADER.unpack_from(data, 0)[:3]
+    if magic != b"ROUT":
+        return []
+    start = GRAPH_HEADER.size + GRAPH_CELL.size * count
+    entries = GRAPH_CELL.iter_unpack(data[GRAPH_HEADER.size : start])
+    return [(lat, lon, first, n, start + at, m) for lat, lon, first, n, at, m in entries if not box or (box[0] <= lat <= box[2] and box[1] <= lon <= box[3])]
+
+
+def read_graph_files(files: DataFrame, box: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """Edges ``profile, lat_e4, lon_e4, src_idx, dst_idx, cost, dist_m, flags`` of graph files, of the cells in ``box`` only."""
 
     def run(batches):
+        for batch in batches:
+            for profile, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                for lat, lon, first, n, at, m in _index_of(data, box):
+                    yield _entry_rows(profile, lat, lon, first, n, m, data, at)
+
+    return files.select("profile", "file").mapInArrow(run, _READ)
+
+
+def read_graph_pieces(pieces: DataFrame, box: tuple[int, int, int, int] | None = None) -> DataFrame:
+    """The same of files that lie in pieces: the index tells where each entry is, and entries are read apart."""
+
+    def index(batches):
         for pdf in batches:
-            out = []
-            for profile, data in zip(pdf["profile"], map(bytes, pdf["file"]), strict=True):
-                for lat, lon, first, nodes, edges in parse_graph(data, box):
-                    ends = [*(n[2] for n in nodes[1:]), len(edges)]
-                    for k, (n, end) in enumerate(zip(nodes, ends, strict=True)):
-                        out += [(profile, lat, lon, first + k, d, c, m, f) for d, c, m, f, _ in edges[n[2] : end]]
-            yield pd.DataFrame(out, columns=["profile", "lat_e4", "lon_e4", "src_idx", "dst_idx", "cost", "dist_m", "flags"])
-
-    return files.select("profile", "file").mapInPandas(run, "profile string, lat_e4 long, lon_e4 long, src_idx long, dst_idx long, cost long, dist_m long, flags long")
+            rows = [(profile, *e) for profile, data in zip(pdf["profile"], map(bytes, pdf["piece"]), strict=True) for e in _index_of(data, box)]
+            yield pd.DataFrame(rows, columns=["profile", "lat_e4", "lon_e4", "first", "nodes", "at", "edges"])
+
+    def run(batches):
+        for batch in batches:
+            for r in batch.to_pylist():
+                yield _entry_rows(r["profile"], r["lat_e4"], r["lon_e4"], r["first"], r["nodes"], r["edges"], r["piece"], 0)
+
+    entries = pieces.filter("at = 0").select("profile", "piece").mapInPandas(index, "profile string, lat_e4 long, lon_e4 long, first long, nodes long, at long, edges long")
+    return pieces.filter("at > 0").join(F.broadcast(entries), ["profile", "at"]).mapInArrow(run, _READ)
 
 
 def write_graph_tables(nodes: DataFrame, edges: DataFrame, folder: str) -> None:

@@ -104,6 +104,26 @@ def test_graph_file():
     assert [c[0] for c in packs.parse_graph(packs.build_graph(cells), (0, 0, 900, 2000))] == [500]
 
 
+def test_graph_file_of_a_large_cell():
+    """More nodes and edges than an entry holds, and a node with more edges than that."""
+    import numpy as np
+
+    degree = np.r_[np.ones(70000, int), 0, 140000, 0, 3]
+    offset = np.cumsum(degree) - degree
+    nodes = [(1.0, 2.0, int(o)) for o in offset]
+    edges = [(int(k), int(k) % 7, 1, 2, 0) for k in range(degree.sum())]
+    small = (0, 0, [(1.0, 2.0, 0)], [(1, 2, 3, 4, 0)])
+    back = packs.parse_graph(packs.build_graph([(500, 500, nodes, edges), small]))
+    assert len(back) == 7 and [c[2] for c in back[:2]] == [0, 1]
+    got = {}
+    for lat, lon, first, n, e in back[1:]:
+        assert (lat, lon) == (500, 500) and len(n) <= 65535 and len(e) <= 65535
+        for k, (a, b) in enumerate(zip(n, [*n[1:], (0, 0, len(e))])):
+            got.setdefault(first + k - 1, []).extend(e[a[2] : b[2]])
+    assert {k: len(v) for k, v in got.items()} == dict(enumerate(degree.tolist()))
+    assert [x for k in sorted(got) for x in got[k]] == edges
+
+
 def _field(n, v):
     if isinstance(v, int):
         return codec.varint(n << 3) + codec.varint(v)

@@ -223,3 +223,20 @@ def test_searches_from_both_ends():
     row = {"lat_lo": 0, "lat_hi": 2500, "lon_lo": 0, "lon_hi": 1500, "source": int(roads.nodes[5]), "target": int(roads.nodes[9000])}
     one, both = (route._search(roads, row, None, x) for x in (False, True))
     assert one[0] == both[0] is not None and both[2] < 0.2 * one[2]
+
+
+def test_graph_files_of_large_cells(spark, sf_dir, monkeypatch):
+    """Edges come back from cells that take several entries, in pieces and from whole files."""
+    from terrafold.sources import packs
+
+    want = sorted(map(tuple, catalog.QUERIES["graph_file_edges"](spark, sf_dir).collect()))
+    made = []
+    monkeypatch.setattr(packs, "PART", 40)
+    monkeypatch.setattr(packs, "graph_pieces", lambda cells, real=packs.graph_pieces: made.append(cells) or real(cells))
+    assert sorted(map(tuple, catalog.QUERIES["graph_file_edges"](spark, sf_dir).collect())) == want
+    cells = made[0]
+    assert cells.count() > cells.select("profile", "lat_e4", "lon_e4").distinct().count()
+    assert cells.agg({"nodes": "max"}).first()[0] <= 40
+    assert sorted(map(tuple, packs.read_graph_files(packs.graph_files(cells)).collect())) == want
+    box = (424000, 14000, 424500, 15000)
+    assert sorted(map(tuple, packs.read_graph_files(packs.graph_files(cells), box).collect())) == [r for r in want if box[0] <= r[1] <= box[2] and box[1] <= r[2] <= box[3]]
