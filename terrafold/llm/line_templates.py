@@ -12,7 +12,7 @@ over tasks and any number of templates is found at once.  Copies of whole
 documents are not boilerplate: a holder of a line is known by least hashes of
 its other lines (long lines weigh more), which near copies share.
 
-Lines are parsed in numpy, in pieces of about 1 MB.  The first pass counts
+Lines are parsed in numpy, in pieces of about 256 KB.  The first pass counts
 leaves; the second gives hashes of the lines in leaves that can matter, which a
 bitmap of bounded size tells (where it is too full, more lines take part).
 Another one keeps texts that lose no line out of the last shuffle.
@@ -37,8 +37,8 @@ MIN_SHARE = 0.3
 MIN_ALONE, SKETCHES = 0.03, 4
 #: Share of positions that must be constant in a template.
 SIMILARITY = 0.7
-#: Bytes parsed at once.
-PIECE = 1 << 20
+#: Bytes parsed at once (their arrays take some 60 times as much).
+PIECE = 1 << 18
 #: Any character but the blanks of the contracts (space and U+0009-U+000D).
 INK = r"[^\x20\x09-\x0D]"
 

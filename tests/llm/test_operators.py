@@ -718,3 +718,28 @@ def test_queries_keep_their_columns(spark, sf_dir):
     want = {"op4_media": ["doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"], "op5_language": ["doc_id", "held_out", "lang_pred", "score"], "op9_chat": ["conv_id", "turn", "json"]}
     for name, cols in want.items():
         assert set(cols) <= set(QUERIES[name](spark, sf_dir).columns)
+
+
+def test_workers_get_small_batches(spark):
+    """Batches of 2,048 rows at most reach the workers, and a parse of many lines stays small."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from terrafold.session import ROWS, ship_package
+
+    ship_package(spark)
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows])], names=["n"])
+
+    got = spark.range(0, 9000, 1, 1).mapInArrow(sizes, "n long").agg({"n": "max", "*": "count"}).first()
+    assert got[0] <= ROWS < 10000
+    line = b"the same line of words comes 12 times here\n"
+    line_templates._parse(line * 100)
+    tracemalloc.start()
+    line_templates._lines([line * 1000] * 30)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25e6
