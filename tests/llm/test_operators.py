@@ -743,3 +743,14 @@ def test_workers_get_small_batches(spark):
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert peak < 25e6
+
+
+def test_the_start_takes_every_training_text(spark, monkeypatch):
+    """The rounds of the start together see each token of the training texts once."""
+    seen, refit = [], hmm.Model.refit
+    monkeypatch.setattr(hmm, "START_TEXTS", 1)
+    monkeypatch.setattr(hmm, "PASSES", 0)
+    monkeypatch.setattr(hmm.Model, "refit", staticmethod(lambda starts, moves, emits, prior: seen.append(emits.sum()) or refit(starts, moves, emits, prior)))
+    docs = spark.createDataFrame([(k, " ".join(f"w{(k * j) % 23}" for j in range(1 + k % 9))) for k in range(400)], "doc_id long, text string")
+    tokens = hmm.hmm_scores(docs, F.col("doc_id") % 7 != 2).first()["train_tokens"]
+    assert len(seen) == hmm.START_ROUNDS and abs(sum(seen) - tokens) < 1e-6 * tokens
